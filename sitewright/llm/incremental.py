@@ -33,8 +33,8 @@ SHORT = GRAM - 1 + EDITS * GRAM + 1
 #: A gram of the history is frequent from this share of the records on: at most 1/share times the grams of
 #: a record are.
 FREQUENT = 0.0005
-#: Rows of the smaller side of a probe that may be broadcast (about 16 MB).
-BROADCAST_ROWS = 500_000
+#: Size on disk up to which the keys of a batch are broadcast to the state's; beyond, both are shuffled.
+BROADCAST_BYTES = 8 << 20
 #: Labelled candidate pairs on which the weights are fitted.
 FIT_ROWS = 20_000
 
@@ -123,15 +123,20 @@ def fit_weights(labelled: pd.DataFrame) -> np.ndarray:
 
 
 class BatchDeduplicator:
-    """Accepts batches in order; each is held against the persisted state of all before it."""
+    """Accepts batches in order; each is held against the persisted state of all before it.
+
+    The state is three tables, one folder per batch each: keys (blocking keys of accepted records), links
+    (who repeats whom) and representatives.
+    """
 
     def __init__(self, spark: SparkSession, work: Workspace):
         self.spark, self.work = spark, work
         self.frequent = np.zeros(0, np.int64)
         self.weights: np.ndarray | None = None
+        self.batches: list[str] = []
 
     def _table(self, name: str, schema: str) -> DataFrame:
-        return self.spark.read.schema(schema).parquet(self.work.path(name))
+        return self.spark.read.schema(schema).parquet(*[self.work.path(f"{name}/{b}") for b in self.batches])
 
     @property
     def keys(self) -> DataFrame:
@@ -150,9 +155,10 @@ class BatchDeduplicator:
     def accept_history(self, records: DataFrame) -> None:
         """Take records as accepted without a check; they are keyed once, here."""
         self.frequent = frequent_grams(records)
-        self.work.write(blocking_keys(records, self.frequent), "keys")
-        self.work.write(records.limit(0).select(F.col("sample_id").alias("accepted_id"), "sample_id", F.lit(0.0).alias("score")), "links")
-        self.work.write(records.select("sample_id", F.col("sample_id").alias("cluster_id")), "representatives")
+        self.work.write(blocking_keys(records, self.frequent), "keys/history")
+        self.work.write(records.limit(0).select(F.col("sample_id").alias("accepted_id"), "sample_id", F.lit(0.0).alias("score")), "links/history")
+        self.work.write(records.select("sample_id", F.col("sample_id").alias("cluster_id")), "representatives/history")
+        self.batches = ["history"]
 
     def _candidates(self, left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
         """Pairs of a batch's text and another text with a common key, once each."""
@@ -166,6 +172,27 @@ class BatchDeduplicator:
         z = sum((F.least(F.col(f"d{i}"), F.lit(8.0)) / 8 * float(w[i]) for i in range(3)), F.lit(float(w[3])))
         return pairs.withColumn("score", F.round(1 / (1 + F.exp(-z)), 6))
 
+    def _rejected(self, near: DataFrame, tag: str) -> DataFrame:
+        """sample_id of the texts that are not accepted.
+
+        Whoever repeats an accepted record of the state is out. Inside the batch, a text that repeats no
+        open earlier one is accepted, and one that repeats an accepted one is out, until none is open.
+        """
+        rejected = near.where("old").select("sample_id").distinct()
+        inside = near.where("not old").select("sample_id", "accepted_id")
+        if inside.isEmpty():
+            return rejected
+        rejected, step = self.work.write(rejected, f"{tag}/rejected-0"), 0
+        without = lambda pairs, gone: pairs.join(gone, "sample_id", "left_anti").join(gone.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
+        pairs = self.work.write(without(inside, rejected), f"{tag}/open-0")
+        while not pairs.isEmpty():
+            first = pairs.select("accepted_id").distinct().join(pairs.select(F.col("sample_id").alias("accepted_id")).distinct(), "accepted_id", "left_anti")
+            step += 1
+            lost = self.work.write(pairs.join(first, "accepted_id", "left_semi").select("sample_id").distinct(), f"{tag}/lost-{step}")
+            rejected = rejected.union(lost)
+            pairs = self.work.write(without(pairs, lost), f"{tag}/open-{step}")
+        return rejected
+
     def accept(self, batch: DataFrame, number: int) -> None:
         """Find the repeats of one batch, accept the others and update the state.
 
@@ -174,43 +201,30 @@ class BatchDeduplicator:
         every later copy repeats it, or repeats what the first repeats.
         """
         work, tag = self.work, f"batch-{number}"
-        texts = work.write(batch.groupBy("replicate", "text").agg(F.min("sample_id").alias("sample_id")), f"{tag}-texts")
-        keys = work.write(blocking_keys(texts, self.frequent), f"{tag}-keys")
-        small = keys.count() <= BROADCAST_ROWS
-        inner = keys.select("key", "replicate", "sample_id", "text")
-        against = self._candidates(inner, self.keys, small)
-        among = self._candidates(inner, keys, small).where("accepted_id < sample_id")
-        pairs = work.write(self._score(field_features(against.withColumn("old", F.lit(True)).union(among.withColumn("old", F.lit(False))))), f"{tag}-pairs")
+        texts = batch.groupBy("replicate", "text").agg(F.min("sample_id").alias("sample_id"))
+        keys = work.write(blocking_keys(texts, self.frequent), f"{tag}/keys")
+        small = work.size(f"{tag}/keys") <= BROADCAST_BYTES
+        against = self._candidates(keys, self.keys, small).withColumn("old", F.lit(True))
+        among = self._candidates(keys, keys, small).where("accepted_id < sample_id").withColumn("old", F.lit(False))
+        pairs = work.write(self._score(field_features(against.union(among))), f"{tag}/pairs")
         if self.weights is None:
             self.weights = fit_weights(pairs.select("d0", "d1", "d2", "repeats").limit(FIT_ROWS).toPandas())
         near = pairs.where("repeats")
-        rejected = work.write(near.where("old").select("sample_id").distinct(), f"{tag}-rejected-0")
-        # inside the batch: whoever repeats no open earlier record is accepted, and whoever repeats an accepted one is not
-        open_pairs = near.where("not old").select("sample_id", "accepted_id").join(rejected, "sample_id", "left_anti").join(rejected.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
-        open_pairs, step = work.write(open_pairs, f"{tag}-open-0"), 0
-        while not open_pairs.isEmpty():
-            first = open_pairs.select(F.col("accepted_id").alias("sample_id")).distinct().join(open_pairs.select("sample_id").distinct(), "sample_id", "left_anti")
-            lost = open_pairs.join(first.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_semi").select("sample_id").distinct()
-            step += 1
-            lost = work.write(lost, f"{tag}-lost-{step}")
-            rejected = work.write(rejected.union(lost), f"{tag}-rejected-{step}")
-            left = open_pairs.join(lost, "sample_id", "left_anti").join(lost.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
-            open_pairs = work.write(left, f"{tag}-open-{step}")
-        repeats = near.join(rejected.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti").select("accepted_id", "sample_id", "score")
+        rejected = self._rejected(near, tag)
+        repeats = near.join(rejected.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti").select("accepted_id", F.col("sample_id").alias("first_id"), "score")
         copies = batch.join(texts.withColumnRenamed("sample_id", "first_id"), ["replicate", "text"]).select("sample_id", "first_id")
-        by_text = copies.join(repeats.withColumnRenamed("sample_id", "first_id"), "first_id").select("accepted_id", "sample_id", "score")
+        by_text = copies.join(repeats, "first_id").select("accepted_id", "sample_id", "score")
         exact = copies.where("sample_id > first_id").join(rejected.withColumnRenamed("sample_id", "first_id"), "first_id", "left_anti").select(F.col("first_id").alias("accepted_id"), "sample_id", F.lit(1.0).alias("score"))
-        links = work.write(by_text.union(exact), f"{tag}-links")
-        work.write(keys.join(rejected, "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), "keys", "append")
-        work.write(links, "links", "append")
-        self._update_clusters(batch, links)
-
-    def _update_clusters(self, batch: DataFrame, links: DataFrame) -> None:
-        """Append the batch's representatives: the least cluster among the accepted records it repeats."""
-        roots = links.join(self.representatives.select(F.col("sample_id").alias("accepted_id"), "cluster_id"), "accepted_id", "left").select("sample_id", F.coalesce("cluster_id", "accepted_id").alias("cluster_id"))
-        mapped = roots.groupBy("sample_id").agg(F.min("cluster_id").alias("cluster_id"))
-        new = batch.select("sample_id").join(mapped, "sample_id", "left").select("sample_id", F.coalesce("cluster_id", "sample_id").alias("cluster_id"))
-        self.work.write(new, "representatives", "append")
+        links = work.write(by_text.union(exact), f"links/{number}")
+        work.write(keys.join(rejected, "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), f"keys/{number}")
+        work.write(self._clusters(batch, links), f"representatives/{number}")
+        self.batches.append(str(number))
+
+    def _clusters(self, batch: DataFrame, links: DataFrame) -> DataFrame:
+        """The batch's representatives: the least cluster among the accepted records it repeats, else itself."""
+        known = self.representatives.select(F.col("sample_id").alias("accepted_id"), "cluster_id")
+        roots = links.join(known, "accepted_id", "left").groupBy("sample_id").agg(F.min(F.coalesce("cluster_id", "accepted_id")).alias("cluster_id"))
+        return batch.select("sample_id").join(roots, "sample_id", "left").select("sample_id", F.coalesce("cluster_id", "sample_id").alias("cluster_id"))
 
 
 def deduplicate(samples: DataFrame, work: Workspace) -> BatchDeduplicator:

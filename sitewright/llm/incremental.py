@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import normalize_id
+from sitewright.operators.components import connected_components
 from sitewright.session import Workspace
 
 EDITS = 2
@@ -147,17 +148,21 @@ class BatchDeduplicator:
         """accepted_id, sample_id, score of every repeat so far."""
         return self._table("links", "accepted_id long, sample_id long, score double")
 
+    @property
+    def _mapping(self) -> DataFrame:
+        return self._table("representatives", "sample_id long, cluster_id long, version int")
+
     @property
     def representatives(self) -> DataFrame:
         """sample_id, cluster_id: the representative mapping, one union-find root per record."""
-        return self._table("representatives", "sample_id long, cluster_id long")
+        return self._mapping.groupBy("sample_id").agg(F.max_by("cluster_id", "version").alias("cluster_id"))
 
     def accept_history(self, records: DataFrame) -> None:
         """Take records as accepted without a check; they are keyed once, here."""
         self.frequent = frequent_grams(records)
         self.work.write(blocking_keys(records, self.frequent), "keys/history")
         self.work.write(records.limit(0).select(F.col("sample_id").alias("accepted_id"), "sample_id", F.lit(0.0).alias("score")), "links/history")
-        self.work.write(records.select("sample_id", F.col("sample_id").alias("cluster_id")), "representatives/history")
+        self.work.write(records.select("sample_id", F.col("sample_id").alias("cluster_id"), F.lit(0).alias("version")), "representatives/history")
         self.batches = ["history"]
 
     def _candidates(self, left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
@@ -217,14 +222,29 @@ class BatchDeduplicator:
         exact = copies.where("sample_id > first_id").join(rejected.withColumnRenamed("sample_id", "first_id"), "first_id", "left_anti").select(F.col("first_id").alias("accepted_id"), "sample_id", F.lit(1.0).alias("score"))
         links = work.write(by_text.union(exact), f"links/{number}")
         work.write(keys.join(rejected, "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), f"keys/{number}")
-        work.write(self._clusters(batch, links), f"representatives/{number}")
+        work.write(self._clusters(batch, links, number), f"representatives/{number}")
         self.batches.append(str(number))
 
-    def _clusters(self, batch: DataFrame, links: DataFrame) -> DataFrame:
-        """The batch's representatives: the least cluster among the accepted records it repeats, else itself."""
-        known = self.representatives.select(F.col("sample_id").alias("accepted_id"), "cluster_id")
-        roots = links.join(known, "accepted_id", "left").groupBy("sample_id").agg(F.min(F.coalesce("cluster_id", "accepted_id")).alias("cluster_id"))
-        return batch.select("sample_id").join(roots, "sample_id", "left").select("sample_id", F.coalesce("cluster_id", "sample_id").alias("cluster_id"))
+    def _clusters(self, batch: DataFrame, links: DataFrame, number: int) -> DataFrame:
+        """New rows of the mapping: the batch's records, and the members of clusters that it joined.
+
+        A record belongs to the least cluster among the accepted records it repeats, else to itself. One
+        that repeats records of several clusters makes these one; only their members get a new root.
+        """
+        reached = links.select("accepted_id").distinct()
+        known = self._mapping.join(reached.withColumnRenamed("accepted_id", "sample_id"), "sample_id", "left_semi").groupBy("sample_id").agg(F.max_by("cluster_id", "version").alias("cluster_id"))
+        roots = links.join(known.withColumnRenamed("sample_id", "accepted_id"), "accepted_id", "left").select("sample_id", F.coalesce("cluster_id", "accepted_id").alias("cluster_id"))
+        least = roots.groupBy("sample_id").agg(F.min("cluster_id").alias("cluster_id"), F.max("cluster_id").alias("most"))
+        own = batch.select("sample_id").join(least.select("sample_id", "cluster_id"), "sample_id", "left").select("sample_id", F.coalesce("cluster_id", "sample_id").alias("cluster_id"))
+        own = own.withColumn("version", F.lit(number))
+        if least.where("cluster_id < most").isEmpty():
+            return own
+        joined = roots.join(least.select("sample_id", F.col("cluster_id").alias("u")), "sample_id").select("u", F.col("cluster_id").alias("v"))
+        merged = connected_components(joined, self.work, f"batch-{number}/merged")
+        merged = merged.select(F.col("id").alias("cluster_id"), "root")
+        old = self.representatives.join(merged, "cluster_id").select("sample_id", F.col("root").alias("cluster_id"), F.lit(number).alias("version"))
+        new = own.join(merged, "cluster_id", "left").select("sample_id", F.coalesce("root", "cluster_id").alias("cluster_id"), "version")
+        return old.union(new)
 
 
 def deduplicate(samples: DataFrame, work: Workspace) -> BatchDeduplicator:

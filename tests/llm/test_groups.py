@@ -71,7 +71,7 @@ def test_hot_match_and_hot_record(spark):
 def test_table(spark, sf):
     edges = {}
     for r in table(spark, sf, "buildstdfragments").collect():
-        c = r.clusterid.strip(" \t ") if r.clusterid else ""
+        c = r.clusterid.strip(" \t\u00a0") if r.clusterid else ""
         if c not in ("", "NA"):
             edges.setdefault((r.trial, r.subject, r.sample, r.mode, r.refgenome, c), set()).add(r.readid)
     want = {(x, min(g)) for g in roots([(a, b) for s in edges.values() for a in [min(s)] for b in s]) if len(g) > 1 for x in g}

@@ -9,7 +9,7 @@ SCHEMA = "sample_id long, batch int, trial string, subject string, sample string
 
 
 def normal(x):
-    x = re.sub("[ \t ]+", "_", x.strip(" \t "))
+    x = re.sub("[ \t\u00a0]+", "_", x.strip(" \t\u00a0"))
     return "".join(chr(ord(c) - 32) if "a" <= c <= "z" else c for c in x)
 
 

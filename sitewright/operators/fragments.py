@@ -81,12 +81,13 @@ def dominant_umis(df: DataFrame, fragment: list[str], umi: str, record: str, rea
     """
     counts = df.groupBy(*fragment, umi).agg(F.count("*").alias("n"))
     total = df.groupBy(*fragment).agg(F.count("*").alias("total"), F.count_distinct(read).alias("reads"))
-    ranked = counts.join(total, fragment).withColumn("p", F.lit(100.0) * F.col("n") / F.col("total")).withColumn("rank", F.row_number().over(W.partitionBy(*fragment).orderBy(F.desc("n"), umi)))
-    strong = ranked.where(F.col("p") >= min_percent)
-    sums = strong.groupBy(*fragment).agg(F.count("*").alias("k"), F.sum("p").alias("sp"))
+    strong = F.col("n") * 100 >= F.col("total") * min_percent
+    ranked = counts.join(total, fragment).withColumn("strong", strong).withColumn("rank", F.row_number().over(W.partitionBy(*fragment).orderBy(F.desc("n"), umi)))
+    sums = ranked.where("strong").groupBy(*fragment).agg(F.count("*").alias("k"), F.sum("n").alias("held"))
     shared = ranked.join(sums, fragment, "left").withColumn("split", (F.col("reads") >= min_reads) & (F.coalesce("k", F.lit(0)) > 1))
-    kept = shared.where(F.when(F.col("split"), F.col("p") >= min_percent).otherwise(F.col("rank") == 1))
-    quota = F.when(F.col("split"), F.floor(F.col("total") * (F.col("p") + (F.lit(100.0) - F.col("sp")) / F.col("k")) / 100)).otherwise(F.col("total"))
+    kept = shared.where(F.when(F.col("split"), F.col("strong")).otherwise(F.col("rank") == 1))
+    # the raised percentage of the records, floored: n + (total - held) / k in whole numbers
+    quota = F.when(F.col("split"), F.col("n") + F.floor((F.col("total") - F.col("held")) / F.col("k"))).otherwise(F.col("total"))
     quotas = kept.select(*fragment, F.col(umi).alias("new_umi"), "rank", "total", quota.alias("quota"))
     others = quotas.groupBy(*fragment).agg(F.sum(F.when(F.col("rank") > 1, F.col("quota")).otherwise(0)).alias("others"))
     fixed = quotas.join(others, fragment).withColumn("quota", F.when(F.col("rank") == 1, F.col("total") - F.col("others")).otherwise(F.col("quota")))

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from sitewright.plans import problems
+from sitewright.plans import event_queries, problems, site_queries
 
-
-def modules() -> list:
-    return [problems]
+flagship = event_queries.site_pipeline
 
 
-def flagship(spark, sf_dir):
-    return problems.p1_found(spark, sf_dir)
+def modules() -> list:
+    return [event_queries, site_queries, problems]

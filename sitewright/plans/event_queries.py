@@ -120,10 +120,10 @@ SQL = {
   SELECT b0.l_partkey, b0.coord, coalesce(s.corrected, b0.coord) AS corrected, count(*) AS reads FROM breaks b0 LEFT JOIN s USING (l_partkey, coord) GROUP BY ALL""",
     "umi_dominance": """WITH c AS (SELECT user_id, event_type AS umi, count(*) AS n FROM events GROUP BY ALL),
   t AS (SELECT user_id, count(*) AS total FROM events GROUP BY ALL),
-  r AS (SELECT c.*, total, 100.0::DOUBLE * n / total AS p, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, umi) AS rk FROM c JOIN t USING (user_id)),
-  s AS (SELECT user_id, count(*) AS k, sum(p) AS sp FROM r WHERE p >= 20 GROUP BY 1),
-  x AS (SELECT r.*, k, sp, total >= 10 AND coalesce(k, 0) > 1 AS split FROM r LEFT JOIN s USING (user_id)),
-  q AS (SELECT user_id, umi, rk, total, CASE WHEN split THEN CAST(floor(total * (p + (100.0::DOUBLE - sp) / k) / 100) AS BIGINT) ELSE total END AS quota FROM x WHERE CASE WHEN split THEN p >= 20 ELSE rk = 1 END),
+  r AS (SELECT c.*, total, n * 100 >= total * 20 AS strong, row_number() OVER (PARTITION BY user_id ORDER BY n DESC, umi) AS rk FROM c JOIN t USING (user_id)),
+  s AS (SELECT user_id, count(*) AS k, CAST(sum(n) AS BIGINT) AS held FROM r WHERE strong GROUP BY 1),
+  x AS (SELECT r.*, k, held, total >= 10 AND coalesce(k, 0) > 1 AS split FROM r LEFT JOIN s USING (user_id)),
+  q AS (SELECT user_id, umi, rk, total, CASE WHEN split THEN n + (total - held) // k ELSE total END AS quota FROM x WHERE CASE WHEN split THEN strong ELSE rk = 1 END),
   f AS (SELECT user_id, umi, rk, CASE WHEN rk = 1 THEN total - sum(CASE WHEN rk > 1 THEN quota ELSE 0 END) OVER (PARTITION BY user_id) ELSE quota END AS quota FROM q),
   g AS (SELECT *, sum(quota) OVER (PARTITION BY user_id ORDER BY rk) AS upto FROM f),
   e AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events)

@@ -42,7 +42,16 @@ class Workspace:
         df.write.mode(mode).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def _file_system(self, name: str):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
     def drop(self, name: str) -> None:
         """Remove a table that nothing reads any more."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        fs, path = self._file_system(name)
+        fs.delete(path, True)
+
+    def size(self, name: str) -> int:
+        """Bytes of a table, by the file system."""
+        fs, path = self._file_system(name)
+        return fs.getContentSummary(path).getLength()

@@ -2,20 +2,20 @@
 
 Two kinds of evidence are combined per document. The end of a text tells whether it is finished, by fixed
 rules over column expressions. And a text that is a strict prefix of a longer text elsewhere was cut from
-it: texts are hashed at fixed prefix lengths, and a text is joined with the longer ones by the hash of
-its own longest fixed-length prefix. A text whose original is lost shows the first kind only, so the
-rules decide what is found; the self-join adds which copy a cut text can be completed from.
+it: the different texts are sorted, and all that continue a text follow it directly, so that each has to be
+compared with its successor only, however many share a beginning. A text whose original is lost shows
+the first kind only, so the rules decide what is found; the sorted values add which copy a cut text can be
+completed from.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import BLANKS, strip_blanks
-
-#: Prefix lengths are START * 2^i characters, up to the longest that a text has.
-START = 64
+from sitewright.session import Workspace
 
 # How a text may end. Fixed values.
 _CLOSERS = r"""["'”’»)\]}*_\s\x{00a0}]*\z"""
@@ -49,34 +49,24 @@ def text_end(text: Column) -> Column:
     return F.when(t.isNull() | (t == ""), "empty").when(t.rlike(f"(?U)(?:{_NEVER})"), "cut").when(_ends_finished(t), "finished").otherwise("cut")
 
 
-def _prefix_length(size: Column) -> Column:
-    """The longest of the fixed lengths that a text of this size has; null below START."""
-    return F.when(size >= START, (F.lit(START) * F.pow(F.lit(2.0), F.floor(F.log2(size / F.lit(float(START)))))).cast("int"))
-
-
-def prefix_matches(documents: DataFrame) -> DataFrame:
-    """doc_id, whole_id: each document whose text is a strict prefix of longer texts, with the least doc_id of these.
+def prefix_matches(documents: DataFrame, work: Workspace) -> DataFrame:
+    """doc_id, whole_id: each document whose text is a strict prefix of a longer one.
 
-    Equal texts are one class, held by its least doc_id. Every class gives one row for each fixed prefix
-    length that it has (they double, so a text of n characters gives log2(n/64) rows); a class is
-    looked up by the hash of its own longest one and compared in full. A text under 64 characters is
-    looked up by its exact hash among all its possible extensions' prefixes of that length.
+    Texts are compared without trailing blanks; null and empty ones are left out. Equal texts are one
+    value, held by its least doc_id; whole_id is that of the next longer text in the order of code points.
+    The values are range-partitioned and sorted once; the last of a partition is compared with the first
+    of the next, of which there is one row per partition.
     """
     texts = documents.select("doc_id", F.regexp_replace("text", f"{BLANKS}+$", "").alias("text")).where("text <> ''")
-    classes = texts.groupBy("text").agg(F.min("doc_id").alias("class_id")).withColumn("size", F.char_length("text"))
-    short_sizes = classes.where(F.col("size") < START).select("size").distinct()
-    longest = _prefix_length(F.col("size"))
-    levels = F.when(longest.isNotNull(), F.transform(F.sequence(F.lit(0), F.round(F.log2(longest / F.lit(START))).cast("int")), lambda i: (F.lit(START) * F.pow(F.lit(2.0), i)).cast("int")))
-    offered = classes.select("class_id", "text", "size", F.explode(levels).alias("cut"))
-    brief = classes.join(F.broadcast(short_sizes.withColumnRenamed("size", "cut")), F.col("cut") < F.col("size"))  # fewer than START rows
-    whole = offered.union(brief.select("class_id", "text", "size", "cut")).select(
-        F.col("class_id").alias("whole_id"), F.col("text").alias("whole_text"), F.col("size").alias("whole_size"), "cut", F.xxhash64("cut", F.substring("text", F.lit(1), F.col("cut"))).alias("key")
-    )
-    probe = classes.select("class_id", "text", "size", F.coalesce(longest, "size").alias("cut")).withColumn("key", F.xxhash64("cut", F.substring("text", F.lit(1), F.col("cut"))))
-    found = probe.join(whole, ["key", "cut"]).where((F.col("whole_size") > F.col("size")) & F.expr("startswith(whole_text, text)"))
-    best = found.groupBy("class_id").agg(F.min("whole_id").alias("whole_id"))
-    members = texts.join(classes.select("text", "class_id"), "text").select("doc_id", "class_id")
-    return members.join(best, "class_id").select("doc_id", "whole_id")
+    values = texts.groupBy("text").agg(F.min("doc_id").alias("value_id")).repartitionByRange("text").withColumn("part", F.spark_partition_id())
+    ordered = work.write(values, "values")
+    inside = W.partitionBy("part").orderBy("text")
+    firsts = ordered.groupBy("part").agg(F.min(F.struct("text", "value_id")).alias("first"))
+    following = firsts.select("part", F.lead("first").over(W.orderBy("part")).alias("after"))  # one row per partition
+    here = ordered.select("text", "part", F.lead(F.struct("text", "value_id")).over(inside).alias("next")).join(following, "part").withColumn("next", F.coalesce("next", "after"))
+    hashes = (F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"))
+    cut = here.where(F.expr("startswith(next.text, text)")).select(*hashes, F.col("next.value_id").alias("whole_id"))
+    return texts.select("doc_id", *hashes).join(cut, ["h1", "h2"]).select("doc_id", "whole_id")
 
 
 def cut_documents(documents: DataFrame) -> DataFrame:
@@ -84,12 +74,12 @@ def cut_documents(documents: DataFrame) -> DataFrame:
     return documents.where(text_end(F.col("text")) == "cut").select("doc_id", "source")
 
 
-def cut_rates(documents: DataFrame) -> DataFrame:
+def cut_rates(documents: DataFrame, work: Workspace) -> DataFrame:
     """source, n_docs, n_cut, n_prefix: how often each source cuts, and how many of its texts have a longer copy.
 
     A null source is a source of its own. Empty texts count as documents only.
     """
     source = strip_blanks(F.col("source"))
-    with_copy = prefix_matches(documents).select("doc_id", F.lit(1).alias("has_copy"))
+    with_copy = prefix_matches(documents, work).select("doc_id", F.lit(1).alias("has_copy"))
     rows = documents.select("doc_id", source.alias("source"), (text_end(F.col("text")) == "cut").alias("is_cut")).join(with_copy, "doc_id", "left")
     return rows.groupBy("source").agg(F.count("*").alias("n_docs"), F.count_if("is_cut").alias("n_cut"), F.count("has_copy").alias("n_prefix"))

@@ -29,7 +29,7 @@ def frames(spark, docs, items):
 
 def test_cases(spark):
     part = " ".join(ITEM.split()[2:15])
-    docs = [(1, ITEM.upper()), (2, f"see <b>{part}</b>, ok"), (3, " ".join(ITEM.split()[2:14])), (4, part.replace(" ", "&nbsp;­[b]\n")), (5, None), (6, ""), (7, ITEM.replace("26", "31").replace("Zufalja", "Belosard", 1)), (8, ITEM.replace("26", "31")), (9, "x " * 100_000 + part), (8, "again"), (11, ITEM.replace("tide", "wave"))]
+    docs = [(1, ITEM.upper()), (2, f"see <b>{part}</b>, ok"), (3, " ".join(ITEM.split()[2:14])), (4, part.replace(" ", "&nbsp;­[b]\n")), (5, None), (6, ""), (7, ITEM.replace("26", "31").replace("Zufalja", "Belosard", 1)), (8, ITEM.replace("26", "31")), (9, "x " * 100_000 + part), (8, "again"), (11, ITEM.replace("wait", "stall"))]
     items = [(1, ITEM), (2, ITEM + " for long"), (3, "short"), (4, None), (5, "nothing of the sort is to be found in any of these posts at all today")]
     d, i = frames(spark, docs, items)
     got = {tuple(r) for r in lk.leaked_items(d, i).collect()}

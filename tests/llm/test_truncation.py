@@ -2,7 +2,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from sitewright.llm.truncation import cut_documents, cut_rates, prefix_matches, text_end
-from sitewright.session import table
+from sitewright.session import Workspace, table
+
+
+def brute(docs):
+    """docs: doc_id -> stripped text. The next value in order, where it continues the text."""
+    ids = {}
+    for i, t in docs.items():
+        if t:
+            ids[t] = min(i, ids.get(t, i))
+    order = sorted(ids)
+    after = {t: u for t, u in zip(order, order[1:]) if u.startswith(t)}
+    return {i: ids[after[t]] for i, t in docs.items() if t in after}
 
 LONG = "this is a long enough last line without any stop at all"
 CASES = [
@@ -25,21 +36,24 @@ def test_prefixes(spark):
     base = "".join(chr(97 + i * 7 % 26) for i in range(3000))
     texts = {1: base, 2: base[:10], 3: base[:64], 4: base[:127], 5: base[:128], 6: base[:2999], 7: base, 8: base[:500] + "Z", 9: None, 10: "", 11: base[:500] + "Z more", 12: base[:10] + "\n", 13: "q"}
     rows = spark.createDataFrame([(i, t, "s", 1) for i, t in texts.items()], "doc_id long, text string, source string, size int")
-    strip = {i: t.rstrip() for i, t in texts.items() if t}
-    want = {(i, min(j for j, u in strip.items() if u != t and u.startswith(t))) for i, t in strip.items() if any(u != t and u.startswith(t) for u in strip.values())}
-    assert {tuple(r) for r in prefix_matches(rows).collect()} == want
-    assert prefix_matches(rows.limit(0)).count() == 0
+    strip = {i: (t or "").rstrip() for i, t in texts.items()}
+    assert dict(map(tuple, prefix_matches(rows, Workspace(spark, "t")).collect())) == brute(strip)
+    assert prefix_matches(rows.limit(0), Workspace(spark, "t")).count() == 0
+
+
+def test_many_with_one_beginning(spark):
+    texts = {i: "the same beginning " * 5 + f"{i:04}"[: i % 5] for i in range(400)}
+    rows = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    assert dict(map(tuple, prefix_matches(rows, Workspace(spark, "t")).collect())) == brute({i: t.rstrip() for i, t in texts.items()})
 
 
 def test_rates(spark):
     rows = spark.createDataFrame([(1, LONG, "a"), (2, LONG + ".", "a "), (3, None, "a"), (4, LONG, None)], "doc_id long, text string, source string")
-    assert {tuple(r) for r in cut_rates(rows).collect()} == {("a", 3, 1, 1), (None, 1, 1, 1)}
-    assert {r.doc_id for r in cut_documents(rows).collect()} == {1, 4} and cut_rates(rows.limit(0)).count() == 0
+    assert {tuple(r) for r in cut_rates(rows, Workspace(spark, "t")).collect()} == {("a", 3, 1, 1), (None, 1, 1, 1)}
+    assert {r.doc_id for r in cut_documents(rows).collect()} == {1, 4} and cut_rates(rows.limit(0), Workspace(spark, "t")).count() == 0
 
 
 @pytest.mark.parametrize("name", ["documents"])
 def test_table(spark, sf, name):
     docs = {r.doc_id: (r.text or "").rstrip() for r in table(spark, sf, name).collect()}
-    got = {r.doc_id: r.whole_id for r in prefix_matches(table(spark, sf, name)).collect()}
-    want = {i: min(j for j, u in docs.items() if u != t and u.startswith(t)) for i, t in docs.items() if t and any(u != t and u.startswith(t) for u in docs.values())}
-    assert got == want
+    assert dict(map(tuple, prefix_matches(table(spark, sf, name), Workspace(spark, "t")).collect())) == brute(docs)

@@ -100,14 +100,14 @@ def sheet_rows(lines: DataFrame, checks: dict[str, Column]) -> DataFrame:
     empty line is one empty cell. A check over a column that the sheet lacks sees null and passes. The
     sheet is a hash-join key only; no sheet is gathered in one task.
     """
-    parsed = parse_lines(lines)
+    # the lines are split before the kernel, through which Catalyst pushes no filter
     header = (
-        parsed.where("line_no = 1")
+        parse_lines(lines.where("line_no = 1"))
         .groupBy("sheet")
         .agg(F.min_by("cells", "line_id").alias("names"))
         .select("sheet", F.transform("names", lambda x: F.lower(F.trim(x))).alias("names"))
     )
-    rows = parsed.where("line_no is null or line_no > 1").join(header, "sheet", "left")
+    rows = parse_lines(lines.where("line_no is null or line_no > 1")).join(header, "sheet", "left")
     fits = F.coalesce(F.size("cells") == F.size("names"), F.lit(False))
     rows = rows.withColumn("cell", F.when(fits, F.map_from_entries(F.array_distinct(F.arrays_zip(F.col("names").alias("key"), F.col("cells").alias("value"))))))
     failed = F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(True)), F.lit(reason)) for reason, ok in checks.items()]))

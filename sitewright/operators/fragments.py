@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitewright.operators.sequences import global_row_number
+from sitewright.session import Workspace
+
 
 def build_fragments(anchors: DataFrame, adrift: DataFrame, min_width: int = 40, max_width: int = 100_000) -> DataFrame:
     """Concordant mate pairs as fragments.
@@ -57,27 +60,26 @@ def anchor_competition(df: DataFrame, cluster: list[str], row_keys: list[str], s
     Ties are ordered by row_keys. Only the two best rows of a cluster are ever compared.
     """
     rows = df.groupBy(*cluster, *row_keys).agg(F.count_distinct(start, end).alias("frags"), F.count("*").alias("reads"))
-    name = F.struct(*row_keys)
-    ranked = lambda *order: F.slice(F.array_sort(F.collect_list(F.struct(*order))), 1, 2)
-    w = lambda *order: W.partitionBy(*cluster).orderBy(*order)
-    by_frags = rows.withColumn("_f", F.row_number().over(w(F.desc("frags"), F.desc("reads"), *row_keys))).withColumn("_r", F.row_number().over(w(F.desc("reads"), F.desc("frags"), *row_keys)))
-    top = by_frags.where("_f <= 2 or _r <= 2").groupBy(*cluster).agg(
-        *[F.max(F.when(F.col(rank) == k, value)).alias(f"{rank}{k}{col}") for rank in ("_f", "_r") for k in (1, 2) for col, value in (("n", F.col("frags") if rank == "_f" else F.col("reads")), ("who", name))]
-    )
-    by = F.when(F.col("_f2n").isNull(), "single").when(F.col("_f1n") - F.col("_f2n") >= min_difference, "fragments").when(F.col("_r1n") >= min_multiple * F.col("_r2n"), "reads").otherwise("removed")
-    who = F.when(by == "reads", F.col("_r1who")).when(by != "removed", F.col("_f1who"))
-    chosen = top.select(*cluster, by.alias("decision"), who.alias("_who"))
-    return chosen.select(*cluster, "decision", *[F.col(f"_who.{k}").alias(k) for k in row_keys])
-
-
-def dominant_umis(df: DataFrame, fragment: list[str], umi: str, record: str, read: str, min_reads: int = 10, min_percent: float = 20) -> DataFrame:
+    orders = {"_f": F.struct((-F.col("frags")).alias("a"), (-F.col("reads")).alias("b"), *row_keys), "_r": F.struct((-F.col("reads")).alias("a"), (-F.col("frags")).alias("b"), *row_keys)}
+    rows = rows.select(*cluster, *[order.alias(name) for name, order in orders.items()])
+    first = rows.groupBy(*cluster).agg(F.min("_f").alias("_f1"), F.min("_r").alias("_r1"))
+    # the second best of each order is the best of what is left, again by aggregates with partial results
+    left = rows.join(first, cluster)
+    second = left.groupBy(*cluster).agg(*[F.min(F.when(F.col(o) != F.col(f"{o}1"), F.col(f"{o}.a"))).alias(f"{o}2") for o in orders])
+    top = first.join(second, cluster)
+    by = F.when(F.col("_f2").isNull(), "single").when(F.col("_f2") - F.col("_f1.a") >= min_difference, "fragments").when(F.col("_r1.a") <= F.col("_r2") * min_multiple, "reads").otherwise("removed")
+    who = lambda k: F.when(F.col("decision") == "reads", F.col(f"_r1.{k}")).when(F.col("decision") != "removed", F.col(f"_f1.{k}"))
+    return top.withColumn("decision", by).select(*cluster, "decision", *[who(k).alias(k) for k in row_keys])
+
+
+def dominant_umis(df: DataFrame, fragment: list[str], umi: str, record: str, read: str, work: Workspace, min_reads: int = 10, min_percent: float = 20) -> DataFrame:
     """§2.13 j, A14, W9: the UMI that each record of a fragment keeps.
 
     Fragments with fewer than min_reads distinct reads, or with at most one UMI of at least min_percent of
     the records, take their most frequent UMI. Otherwise the UMIs that reach it share the records: their
     percentages are raised evenly to 100, floored to counts, and handed out in record order; the most
-    frequent one gets what remains. Ties are alphabetical. UMIs of a fragment are ranked and records
-    numbered by windows; columns: fragment, record, umi.
+    frequent one gets what remains. Ties are alphabetical. The UMIs of a fragment are ranked by a window;
+    its records, which may be many, are numbered over the sorted table. Columns: fragment, record, umi.
     """
     counts = df.groupBy(*fragment, umi).agg(F.count("*").alias("n"))
     total = df.groupBy(*fragment).agg(F.count("*").alias("total"), F.count_distinct(read).alias("reads"))
@@ -93,5 +95,7 @@ def dominant_umis(df: DataFrame, fragment: list[str], umi: str, record: str, rea
     fixed = quotas.join(others, fragment).withColumn("quota", F.when(F.col("rank") == 1, F.col("total") - F.col("others")).otherwise(F.col("quota")))
     to = F.sum("quota").over(W.partitionBy(*fragment).orderBy("rank").rowsBetween(W.unboundedPreceding, 0))
     spans = fixed.withColumn("to", to).withColumn("from", F.col("to") - F.col("quota")).select(*fragment, "new_umi", "from", "to")
-    numbered = df.select(*fragment, record).withColumn("_at", F.row_number().over(W.partitionBy(*fragment).orderBy(record)))
+    numbered = global_row_number(df.select(*fragment, record), [*map(F.col, fragment), F.col(record)], work)
+    begins = numbered.groupBy(*fragment).agg((F.min("row_number") - 1).alias("_before"))
+    numbered = numbered.join(begins, fragment).withColumn("_at", F.col("row_number") - F.col("_before"))
     return numbered.join(spans, fragment).where((F.col("_at") > F.col("from")) & (F.col("_at") <= F.col("to"))).select(*fragment, record, F.col("new_umi").alias(umi))

@@ -38,7 +38,7 @@ def band_join(left: DataFrame, right: DataFrame, keys: list[str], left_pos: str,
     return pairs.where(F.abs(F.col(left_pos) - F.col(right_pos)) <= reach).drop("_bucket")
 
 
-def _nearest_edge(points: DataFrame, edges: DataFrame, keys: list[str], before: bool, width: int) -> DataFrame:
+def nearest_edge(points: DataFrame, edges: DataFrame, keys: list[str], before: bool, width: int) -> DataFrame:
     """keys, pos and the nearest edge at or before (after) each distinct point.
 
     Two levels: a window inside each bucket, and one over the buckets' own extremes, so that no task
@@ -53,6 +53,11 @@ def _nearest_edge(points: DataFrame, edges: DataFrame, keys: list[str], before:
     return local.join(sums.select(*keys, "b", "carried"), [*keys, "b"]).select(*keys, "pos", F.coalesce("inside", "carried").alias("edge"))
 
 
+def fill_down(rows: DataFrame, heads: DataFrame, keys: list[str], width: int = 1 << 16) -> DataFrame:
+    """Keys, pos and the last head (column edge) at or before each distinct position."""
+    return nearest_edge(rows, heads, keys, True, width).distinct()
+
+
 def nearest_join(points: DataFrame, intervals: DataFrame, keys: list[str], pos: str, start: str, end: str, width: int = 1 << 18) -> DataFrame:
     """Each distinct point with all its nearest intervals: keys, pos, distance and the interval's columns.
 
@@ -63,8 +68,8 @@ def nearest_join(points: DataFrame, intervals: DataFrame, keys: list[str], pos:
     named = intervals.withColumn("_start", F.col(start).cast("long")).withColumn("_end", F.col(end).cast("long")).where("_start <= _end")
     inside = overlap_join(spots, named, keys, "pos", "_start", "_end", width).withColumn("distance", F.lit(0).cast("long"))
     outside = spots.join(inside.select(*keys, "pos").distinct(), [*keys, "pos"], "left_anti")
-    left = _nearest_edge(outside, named.select(*keys, F.col("_end").alias("edge")).distinct(), keys, True, width).withColumnRenamed("edge", "left_edge")
-    right = _nearest_edge(outside, named.select(*keys, F.col("_start").alias("edge")).distinct(), keys, False, width).withColumnRenamed("edge", "right_edge")
+    left = nearest_edge(outside, named.select(*keys, F.col("_end").alias("edge")).distinct(), keys, True, width).withColumnRenamed("edge", "left_edge")
+    right = nearest_edge(outside, named.select(*keys, F.col("_start").alias("edge")).distinct(), keys, False, width).withColumnRenamed("edge", "right_edge")
     d = left.join(right, [*keys, "pos"]).withColumn("distance", F.least(F.col("pos") - F.col("left_edge"), F.col("right_edge") - F.col("pos")))
     sides = F.array(F.struct(F.col("left_edge").alias("edge"), F.lit(True).alias("is_end")), F.struct(F.col("right_edge").alias("edge"), F.lit(False).alias("is_end")))
     wanted = d.select(*keys, "pos", "distance", F.explode(sides).alias("e")).where(F.abs(F.col("e.edge") - F.col("pos")) == F.col("distance")).select(*keys, "pos", "distance", "e.edge", "e.is_end")

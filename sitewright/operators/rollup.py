@@ -39,6 +39,13 @@ def site_rollup(df: DataFrame, keys: list[str], replicate: str, width: str, read
     return sites.join(across, keys)
 
 
+def site_umis(df: DataFrame, keys: list[str], umi: str, masked: str = "AAAAAAAAAAAA") -> DataFrame:
+    """Number of distinct UMIs per site; null for all sites if no UMI of the whole input is a real one."""
+    distinct = df.groupBy(*keys).agg(F.count_distinct(umi).alias("n_umis"))
+    real = df.agg(F.coalesce(F.bool_or(F.col(umi) != masked), F.lit(False)).alias("_real"))  # one row
+    return distinct.join(F.broadcast(real)).withColumn("n_umis", F.when(F.col("_real"), F.col("n_umis"))).drop("_real")
+
+
 def replicate_columns(df: DataFrame, keys: list[str], replicate: str, replicates: list[int], width: str, reads: str) -> DataFrame:
     """rep<N>_reads and rep<N>_sonic_lengths for every replicate in the list, null where it is missing."""
     per_rep = df.groupBy(*keys, replicate).agg(F.sum(reads).alias("r"), F.count_distinct(width).alias("s"))

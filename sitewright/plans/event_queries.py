@@ -9,7 +9,7 @@ from sitewright.functions.genome import psl_percent_identity, psl_score
 from sitewright.operators.fragments import build_fragments, dominant_umis
 from sitewright.operators.rollup import relative_abundance, site_rollup, whole_percentages
 from sitewright.operators.standardize import local_maxima, standardize_breakpoints, standardize_positions
-from sitewright.session import table
+from sitewright.session import Workspace, table
 
 
 def _hits(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,7 +67,7 @@ _BREAKS = """breaks AS (SELECT l_partkey, l_orderkey, date_diff('day', DATE '197
 
 def umi_dominance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.col("event_type").alias("umi"), F.col("event_id").alias("readid"))
-    return dominant_umis(rows, ["user_id"], "umi", "event_id", "readid")
+    return dominant_umis(rows, ["user_id"], "umi", "event_id", "readid", Workspace(spark, "umis"))
 
 
 def mate_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:

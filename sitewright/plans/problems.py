@@ -45,7 +45,22 @@ _GROUPED = rf"""
   FROM ({_POSITIONS}) GROUP BY 1
 """
 
+# A cell is quoted whole or holds no quote; the line end may have one carriage return.
+_CELL = r'"(?:[^"]|"")*"|[^"\t]*'
+_LINES = rf"""SELECT line_id, sheet, line_no, regexp_replace(CASE WHEN line_no = 1 THEN ltrim(line, chr(65279)) ELSE line END, '\r\z', '') AS line FROM sampledata_lines"""
+_CELLS = rf"""SELECT line_id, sheet, line_no, regexp_full_match(line, '(?s)(?:{_CELL})(?:\t(?:{_CELL}))*') AS sound,
+    list_transform(regexp_extract_all(chr(9) || line, '(?s)\t({_CELL})', 1), lambda c: CASE WHEN starts_with(c, '"') THEN replace(c[2:-2], '""', '"') ELSE c END) AS cells FROM ({_LINES})"""
+_ROWS = f"""SELECT b.line_id, b.sound, len(b.cells) = len(h.names) AS fits, b.cells[list_position(h.names, 'index1seq')] AS i,
+    b.cells[list_position(h.names, 'adriftreadlinkerseq')] AS a, b.cells[list_position(h.names, 'replicate')] AS r
+  FROM ({_CELLS}) b LEFT JOIN (SELECT sheet, list_transform(cells, lambda c: lower(trim(c))) AS names FROM ({_CELLS}) WHERE line_no = 1) h USING (sheet) WHERE line_no > 1"""
+
 SQL = {
+    "p4_found": rf"""WITH r AS ({_ROWS})
+  SELECT line_id, 'quotes' AS reason FROM r WHERE NOT sound UNION ALL
+  SELECT line_id, 'columns' FROM r WHERE sound AND NOT coalesce(fits, false) UNION ALL
+  SELECT line_id, 'index1seq' FROM r WHERE sound AND fits AND NOT regexp_full_match(i, '(?i)[ACGTN]{{12}}') UNION ALL
+  SELECT line_id, 'adriftreadlinkerseq' FROM r WHERE sound AND fits AND NOT regexp_full_match(a, '(?i)[ACGT]{{3,}}N{{5,}}[ACGT]{{3,}}') UNION ALL
+  SELECT line_id, 'replicate' FROM r WHERE sound AND fits AND NOT (regexp_full_match(r, '[+-]?[0-9]+(\.0+)?') AND coalesce(abs(TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS HUGEINT)) <= 2147483647, false))""",
     "p1_positions": _GROUPED,
     "p1_found": f"SELECT posid FROM ({_GROUPED}) WHERE n_rows * 100 >= (SELECT count(*) FROM known_sites)",
 }

@@ -9,8 +9,8 @@ from sitewright.functions.genome import canonical_posid, posid, posid_parts, rev
 from sitewright.functions.text import normalize_id, strip_blanks, valid_id
 from sitewright.operators.components import connected_components
 from sitewright.operators.fragments import anchor_competition, position_counts, rescue_reads, shortest_fragment
-from sitewright.operators.rangejoin import band_join, nearest_join, overlap_join
-from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, site_rollup, weighted_histogram
+from sitewright.operators.rangejoin import band_join, fill_down, nearest_edge, nearest_join, overlap_join
+from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, site_rollup, site_umis, weighted_histogram
 from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, quality_trim
 from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, shifted_position
 from sitewright.session import Workspace, table
@@ -243,14 +243,43 @@ def truth_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def spacing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps between neighbouring known positions of a chromosome."""
-    from sitewright.operators.rangejoin import _nearest_edge
-
     spots = _positions(spark, sf_dir).select("chrom", "pos").distinct()
-    following = _nearest_edge(spots.select("chrom", (F.col("pos") + 1).alias("pos")), spots.select("chrom", F.col("pos").alias("edge")), ["chrom"], False, 1 << 20)
+    following = nearest_edge(spots.select("chrom", (F.col("pos") + 1).alias("pos")), spots.select("chrom", F.col("pos").alias("edge")), ["chrom"], False, 1 << 20)
     gaps = following.where("edge is not null").select("chrom", (F.col("edge") - F.col("pos") + 1).alias("gap"))
     return gaps.groupBy("chrom").agg(F.count("*").alias("n"), F.min("gap").alias("min_gap"), F.max("gap").alias("max_gap"), F.round(F.avg("gap"), 4).alias("mean_gap"), F.median("gap").alias("median_gap"))
 
 
+def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the catalog records per sample: distinct fragments, sites and clusters."""
+    rows = _fragments(spark, sf_dir).withColumn("cluster", F.nullif(strip_blanks(F.col("clusterid")), F.lit("NA")))
+    frags = rows.select(*SCOPE, "fragchromosome", "fragstrand", "fragstart", "fragend").distinct().groupBy(*SCOPE).agg(F.count("*").alias("total_fragments"))
+    sites = rows.select(*SCOPE, "posid").where("posid is not null").distinct().groupBy(*SCOPE).agg(F.count("*").alias("total_sites"))
+    clusters = rows.where("cluster <> ''").select(*SCOPE, "cluster").distinct().groupBy(*SCOPE).agg(F.count("*").alias("total_clusters"))
+    out = frags.join(sites, SCOPE, "left").join(clusters, SCOPE, "left")
+    return out.select(*SCOPE, "total_fragments", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("total_sites", "total_clusters")])
+
+
+def index_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many index reads are a barcode as they are, and how many reversed; the greater count decides."""
+    sheet = table(spark, sf_dir, "sampledata").select(F.upper("index1seq").alias("seq")).distinct()
+    reads = table(spark, sf_dir, "buildstdfragments").groupBy(F.col("umi").alias("seq")).agg(F.count("*").alias("n"))
+    counts = lambda c, name: reads.withColumn("seq", c).join(sheet, "seq", "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+    both = counts(F.col("seq"), "n_forward").join(counts(revcomp(F.col("seq")), "n_reverse"))  # one row each
+    return both.withColumn("reverse", F.col("n_reverse") > F.col("n_forward"))
+
+
+def site_umi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct UMIs of every site; null throughout where all UMIs of the table are masked."""
+    return site_umis(_sites(spark, sf_dir), SITE, "umi")
+
+
+def header_fill_down(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sheet line with the line number of the header above it."""
+    lines = table(spark, sf_dir, "sampledata_lines").select("line_id", "sheet", F.col("line_no").cast("long").alias("pos"))
+    above = fill_down(lines.select("sheet", "pos"), lines.where("pos = 1").select("sheet", F.col("pos").alias("edge")), ["sheet"])
+    return lines.join(above, ["sheet", "pos"]).select("line_id", "sheet", F.col("edge").alias("header_no"))
+
+
 def golay_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """§2.13 m on the sheets' barcodes."""
     rows = table(spark, sf_dir, "sampledata").groupBy(F.upper("index1seq").alias("barcode")).agg(F.count("*").alias("n"))
@@ -296,6 +325,10 @@ QUERIES = {
     "scope_replace": scope_replace,
     "truth_recovery": truth_recovery,
     "spacing_stats": spacing_stats,
+    "catalog_counts": catalog_counts,
+    "index_orientation": index_orientation,
+    "site_umi_counts": site_umi_counts,
+    "header_fill_down": header_fill_down,
     "golay_decode": golay_decode,
     "quality_trim": quality_trim_query,
 }

@@ -140,4 +140,11 @@ SQL = {
   QUALIFY row_number() OVER (PARTITION BY t.chrom, t.strand, true_pos ORDER BY abs(true_pos - site_pos), site_reads DESC, site_pos) = 1""",
     "spacing_stats": f"""WITH {_SPOTS}, g AS (SELECT chrom, lead(pos) OVER (PARTITION BY chrom ORDER BY pos) - pos AS gap FROM spots)
   SELECT chrom, count(*) AS n, min(gap) AS min_gap, max(gap) AS max_gap, round(avg(gap), 4) AS mean_gap, median(gap) AS median_gap FROM g WHERE gap IS NOT NULL GROUP BY 1""",
+    "catalog_counts": f"""WITH c AS (SELECT *, {_strip("clusterid")} AS cluster FROM buildstdfragments)
+  SELECT {_SCOPE}, count(DISTINCT (fragchromosome, fragstrand, fragstart, fragend)) AS total_fragments, count(DISTINCT posid) AS total_sites, count(DISTINCT CASE WHEN cluster NOT IN ('', 'NA') THEN cluster END) AS total_clusters FROM c GROUP BY ALL""",
+    "index_orientation": """WITH b AS (SELECT DISTINCT upper(index1seq) AS s FROM sampledata),
+  x AS (SELECT count(*) FILTER (WHERE umi IN (SELECT s FROM b)) AS n_forward, count(*) FILTER (WHERE reverse(translate(umi, 'ACGTN', 'TGCAN')) IN (SELECT s FROM b)) AS n_reverse FROM buildstdfragments)
+  SELECT *, n_reverse > n_forward AS reverse FROM x""",
+    "site_umi_counts": f"SELECT {_SITE}, CASE WHEN (SELECT bool_or(umi <> 'AAAAAAAAAAAA') FROM buildstdfragments) THEN count(DISTINCT umi) END AS n_umis FROM buildstdfragments WHERE posid IS NOT NULL GROUP BY ALL",
+    "header_fill_down": "SELECT line_id, sheet, CAST(last_value(CASE WHEN line_no = 1 THEN line_no END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY line_no) AS BIGINT) AS header_no FROM sampledata_lines",
 }

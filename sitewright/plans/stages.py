@@ -68,7 +68,7 @@ def sample_report(sheet: DataFrame, demultiplexed: DataFrame) -> DataFrame:
 def hmm_gate(hits: DataFrame, parameters: DataFrame) -> DataFrame:
     """hits that satisfy their profile's limits on strand, start, score and, if asked for, the match end.
 
-    parameters: queryName, minStart, maxStart, minScore, maxScore, matchEnd, endRadius, hmmLength.
+    parameters: queryName, minStart, maxStart, minScore, maxScore, matchEnd, endRadius, hmmLength (read_hmm_parameters).
     """
     ok = (F.col("strand") == "+") & F.col("targetStart").between(F.col("minStart"), F.col("maxStart")) & F.col("fullScore").between(F.col("minScore"), F.col("maxScore"))
     end = ~F.col("matchEnd") | (F.abs(F.col("hmmLength") - F.col("hmmEnd")) <= F.col("endRadius"))
@@ -88,6 +88,17 @@ def split_leader(reads: DataFrame, target_end: str) -> DataFrame:
     return rows.where("leaderseq <> '' and anchorreadseq <> ''").drop(target_end)
 
 
+def vector_filter(reads: DataFrame, hits: DataFrame, width: int = 25, min_identity: float = 90, min_coverage: float = 90) -> tuple[DataFrame, DataFrame]:
+    """Reads without and with a vector hit in the last `width` bases of the anchor read.
+
+    hits: qseqid (the tested sequence), pident, qstart, qend. Each different sequence has to be searched once.
+    """
+    tested = reads.withColumn("_test", F.expr(f"right(anchorreadseq, {width})"))
+    strong = hits.where((F.col("pident") >= min_identity) & (F.lit(100.0) * (F.col("qend") - F.col("qstart") + 1) / F.length("qseqid") >= min_coverage))
+    vector = strong.select(F.col("qseqid").alias("_test")).distinct()
+    return tested.join(vector, "_test", "left_anti").drop("_test"), tested.join(vector, "_test", "left_semi").drop("_test")
+
+
 def standardized_sites(fragments: DataFrame, pool: list[str], sample: list[str]) -> DataFrame:
     """Fragments to sites: snap integration positions pooled over a subject, then breaks per sample, then roll up.
 

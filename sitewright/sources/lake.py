@@ -35,7 +35,10 @@ def read_manifest(spark: SparkSession, path: str) -> dict:
     fs, p = _fs(spark, f"{path}/_manifest.json")
     if not fs.exists(p):
         return {"id": None, "history": "unavailable"}
-    return json.loads("\n".join(r.value for r in spark.read.text(f"{path}/_manifest.json").collect()))
+    stream = fs.open(p)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return json.loads(text)
 
 
 def check_scope(rows: DataFrame, groups: DataFrame, scope: list[str]) -> None:
@@ -84,3 +87,11 @@ def update_counts(catalog: DataFrame, counts: DataFrame, key: list[str]) -> Data
     clash = F.col("_new").isNotNull() & F.col("demultiplexed_reads").isNotNull()
     value = F.when(clash, F.raise_error(F.lit("a count is set already")).cast("long")).otherwise(F.coalesce("_new", "demultiplexed_reads"))
     return joined.select(*key, value.alias("demultiplexed_reads"))
+
+
+def pull_records(catalog: DataFrame, **wanted: list[str]) -> DataFrame:
+    """catalog rows whose columns are among the values asked for; a column without values is not restricted."""
+    for column, values in wanted.items():
+        if values:
+            catalog = catalog.where(F.col(column).isin(list(values)))
+    return catalog

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sitewright.operators.rangejoin import _nearest_edge
+from sitewright.operators.rangejoin import fill_down
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -86,6 +86,34 @@ def best_hits(hits: DataFrame, read: str, score: str, order: str) -> DataFrame:
     return hits.groupBy(read).agg(best.alias("_h")).select(read, "_h.*")
 
 
+# The keys of a profile's parameter file.
+HMM_KEYS = ("HMMminStartPos", "HMMmaxStartPos", "HMMminFullBitScore", "HMMmaxFullBitScore", "HMMmatchEnd", "HMMmatchTerminalSeq", "HMMmatchEndRadius")
+
+
+def read_hmm_parameters(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per profile NAME.cfg / NAME.hmm of a folder, with the columns that hmm_gate takes.
+
+    A file without exactly the seven keys, with values of the wrong type or empty ranges, or without a
+    length in its profile is an error.
+    """
+    stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.[a-z]+$", 1).alias("queryName")
+    cells = F.split(F.trim("value"), r"\s+")
+    lines = spark.read.text(f"{folder}/*.cfg").where(F.trim("value") != "").select(stem, F.get(cells, F.lit(0)).alias("key"), F.get(cells, F.lit(1)).alias("x"))
+    lengths = spark.read.text(f"{folder}/*.hmm").where(F.col("value").rlike(r"^LENG\s+\d+")).select(stem, F.regexp_extract("value", r"^LENG\s+(\d+)", 1).cast("int").alias("hmmLength"))
+    value = lambda key: F.max(F.when(F.col("key") == key, F.col("x")))
+    raw = lines.groupBy("queryName").agg(F.count("*").alias("n"), *[value(k).alias(k) for k in HMM_KEYS]).join(lengths, "queryName", "left")
+    whole = lambda c: F.when(F.col(c).rlike(r"^[+-]?\d+(\.0*)?$"), F.col(c).cast("double").cast("int"))
+    score = lambda c: F.expr(f"try_cast({c} as double)")
+    rows = raw.select(
+        "queryName", "n", "hmmLength", whole(HMM_KEYS[0]).alias("minStart"), whole(HMM_KEYS[1]).alias("maxStart"), score(HMM_KEYS[2]).alias("minScore"), score(HMM_KEYS[3]).alias("maxScore"),
+        F.when(F.upper(HMM_KEYS[4]).isin("TRUE", "FALSE"), F.upper(HMM_KEYS[4]) == "TRUE").alias("matchEnd"), F.upper(HMM_KEYS[5]).alias("motif"), whole(HMM_KEYS[6]).alias("endRadius"),
+    )
+    sound = (F.col("n") == len(HMM_KEYS)) & (F.col("minStart") >= 1) & (F.col("maxStart") >= F.col("minStart")) & (F.col("maxScore") >= F.col("minScore")) & F.col("matchEnd").isNotNull()
+    sound = sound & F.col("motif").rlike("^(NONE|[ACGTN]+)$") & (F.col("endRadius") >= 0) & F.col("hmmLength").isNotNull()
+    name = F.when(F.coalesce(sound, F.lit(False)), F.col("queryName")).otherwise(F.raise_error(F.concat(F.lit("unusable parameters of profile "), "queryName")))
+    return rows.select(name.alias("queryName"), *[c for c in rows.columns if c not in ("queryName", "n")])
+
+
 def read_repeats(spark: SparkSession, path: str) -> DataFrame:
     """A RepeatMasker table; its three header lines have no whole number first. Strand C is -."""
     rows = _fields(spark, path, REPEAT_COLUMNS, F.col("value").rlike(r"^\s*\d+\s"))
@@ -124,7 +152,7 @@ def read_clusters(spark: SparkSession, path: str) -> DataFrame:
     lines = numbered_lines(spark, path)
     heads = lines.where(F.col("value").startswith(">")).select("file", F.col("line_no").alias("edge"), F.trim(F.regexp_replace("value", "^>Cluster", "")).cast("int").alias("cluster"))
     members = lines.where(~F.col("value").startswith(">")).withColumnRenamed("line_no", "pos")
-    above = _nearest_edge(members, heads.select("file", "edge"), ["file"], True, 1 << 16)
+    above = fill_down(members, heads.select("file", "edge"), ["file"])
     rows = members.join(above, ["file", "pos"]).join(heads, ["file", "edge"])
     named = rows.select("file", "cluster", F.regexp_extract("value", r">(.*?)\.\.\.", 1).alias("readid"), F.rtrim("value").endswith("*").alias("is_rep"))
     return named.join(named.groupBy("file", "cluster").agg(F.count("*").alias("cluster_size")), ["file", "cluster"]).drop("file")

@@ -36,7 +36,7 @@ def test_quality_trim(spark):
     qs = ["".join(rng.choice("+IIIIIII") for _ in range(rng.randrange(40))) for _ in range(300)] + ["", "+", "I", "++", None]
     assert list(sq.trim_lengths(pa.array(qs))) == [slow_trim(q or "") for q in qs]
     df = spark.createDataFrame([("ACGTACGTAC", "IIIIIII++I"), (None, None)], "s string, q string")
-    assert {tuple(r) for r in sq.quality_trim(df, "s", "q").collect()} == {("ACGT", "IIII"), (None, None)}
+    assert {tuple(r) for r in sq.quality_trim(df, "s", "q").collect()} == {("ACGTA", "IIIII"), (None, None)}
 
 
 def test_golay(spark):
@@ -104,3 +104,15 @@ def test_reads_to_sites(spark):
         adrift.append((f"r{i}", "chr1", "-", stop - 29, stop))
     sites = stages.reads_to_sites(spark.createDataFrame(anchors, align), spark.createDataFrame(adrift, "readid string, chrom string, strand string, start int, end int"), ["subject"], ["sample"]).collect()
     assert [(r.posid, r.reads, r.sonic_lengths, r.percent_rel_abund) for r in sites] == [("chr1+1000", 75, 2, 100.0)]
+
+
+def test_hmm_gate_and_vector_filter(spark):
+    hits = spark.createDataFrame([("r1", "h", 1, 20, "+", 12.0, 20), ("r2", "h", 5, 20, "+", 12.0, 20), ("r3", "h", 1, 20, "-", 12.0, 20), ("r4", "h", 1, 20, "+", 12.0, 15), ("r5", "x", 1, 20, "+", 12.0, 20)], "targetName string, queryName string, targetStart int, targetEnd int, strand string, fullScore double, hmmEnd int")
+    limits = spark.createDataFrame([("h", 1, 3, 5.0, 20.0, True, 1, 20)], "queryName string, minStart int, maxStart int, minScore double, maxScore double, matchEnd boolean, endRadius int, hmmLength int")
+    assert [r.targetName for r in stages.hmm_gate(hits, limits).collect()] == ["r1"]
+    reads = spark.createDataFrame([("a", "CCCC" + "ACGTA"), ("b", "GGGG" + "TTTTT"), ("c", "AC"), ("d", None)], "readid string, anchorreadseq string")
+    found = spark.createDataFrame([("ACGTA", 95.0, 1, 5), ("TTTTT", 95.0, 1, 2), ("TTTTT", 50.0, 1, 5)], "qseqid string, pident double, qstart int, qend int")
+    clean, vector = stages.vector_filter(reads, found, 5)
+    assert {r.readid for r in clean.collect()} == {"b", "c", "d"} and {r.readid for r in vector.collect()} == {"a"}
+    split = stages.split_leader(reads.withColumn("end", F.lit(4)), "end")
+    assert {tuple(r) for r in split.select("readid", "leaderseq", "anchorreadseq").collect()} == {("a", "CCCC", "ACGTA"), ("b", "GGGG", "TTTTT")}

@@ -7,6 +7,7 @@ from sitewright.operators.fragments import anchor_competition, build_fragments,
 from sitewright.operators.rangejoin import band_join, nearest_join, overlap_join
 from sitewright.operators.rollup import dominant_class, site_rollup, whole_percentages
 from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections
+from sitewright.session import Workspace
 from pyspark.sql import functions as F
 
 ALIGNED = "readid string, chrom string, strand string, start int, end int"
@@ -86,7 +87,7 @@ def test_umis(spark):
     rows = [("few", u, i) for i, u in enumerate("AAB")] + [("split", u, 100 + i) for i, u in enumerate("A" * 6 + "B" * 5 + "C")] + [("one", "T", 500)]
     df = spark.createDataFrame([(f, u, i, str(i)) for f, u, i in rows], "frag string, umi string, rec int, readid string")
     got = {}
-    for r in dominant_umis(df, ["frag"], "umi", "rec", "readid").collect():
+    for r in dominant_umis(df, ["frag"], "umi", "rec", "readid", Workspace(spark, "t")).collect():
         got.setdefault(r.frag, []).append((r.rec, r.umi))
     assert {f: "".join(u for _, u in sorted(x)) for f, x in got.items()} == {"few": "AAA", "split": "A" * 7 + "B" * 5, "one": "T"}
 

@@ -46,6 +46,16 @@ def test_alignments(spark, tmp_path):
     assert readers.read_blast(spark, blast).first().pident == 98.5
 
 
+def test_hmm_parameters(spark, tmp_path):
+    put(tmp_path / "v.cfg", "HMMminStartPos\t1\nHMMmaxStartPos\t3\nHMMminFullBitScore\t-0.5\nHMMmaxFullBitScore\t10\nHMMmatchEnd\tTRUE\nHMMmatchTerminalSeq\tCA\nHMMmatchEndRadius\t1\n")
+    put(tmp_path / "v.hmm", "HMMER3/f\nNAME  U5\nLENG  101\n")
+    r = readers.read_hmm_parameters(spark, str(tmp_path)).first()
+    assert (r.queryName, r.minStart, r.maxStart, r.minScore, r.maxScore, r.matchEnd, r.motif, r.endRadius, r.hmmLength) == ("v", 1, 3, -0.5, 10.0, True, "CA", 1, 101)
+    put(tmp_path / "w.cfg", "HMMminStartPos\t5\nHMMmaxStartPos\t3\n")
+    with pytest.raises(Exception, match="unusable parameters of profile w"):
+        readers.read_hmm_parameters(spark, str(tmp_path)).collect()
+
+
 def test_clusters(spark, tmp_path):
     path = put(tmp_path / "c.clstr", ">Cluster 0\n0\t30nt, >r1... *\n1\t30nt, >r2... at +/97.00%\n>Cluster 1\n0\t28nt, >r3... *\n>Cluster 2\n")
     assert {tuple(r) for r in readers.read_clusters(spark, path).collect()} == {(0, "r1", True, 2), (0, "r2", False, 2), (1, "r3", True, 1)}

@@ -20,7 +20,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.functions.text import normalize_id
@@ -126,8 +126,8 @@ def fit_weights(labelled: pd.DataFrame) -> np.ndarray:
 class BatchDeduplicator:
     """Accepts batches in order; each is held against the persisted state of all before it.
 
-    The state is three tables, one folder per batch each: keys (blocking keys of accepted records), links
-    (who repeats whom) and representatives.
+    The state is two tables, one folder per batch each: keys (the blocking keys of accepted records) and
+    decisions (every record with the accepted ones it repeats, or null).
     """
 
     def __init__(self, spark: SparkSession, work: Workspace):
@@ -144,25 +144,32 @@ class BatchDeduplicator:
         return self._table("keys", "key long, sample_id long, replicate int, text string")
 
     @property
-    def links(self) -> DataFrame:
-        """accepted_id, sample_id, score of every repeat so far."""
-        return self._table("links", "accepted_id long, sample_id long, score double")
+    def decisions(self) -> DataFrame:
+        return self._table("decisions", "sample_id long, accepted_id long, score double")
 
     @property
-    def _mapping(self) -> DataFrame:
-        return self._table("representatives", "sample_id long, cluster_id long, version int")
+    def links(self) -> DataFrame:
+        """accepted_id, sample_id, score of every repeat so far."""
+        return self.decisions.where("accepted_id is not null").select("accepted_id", "sample_id", "score")
 
     @property
     def representatives(self) -> DataFrame:
-        """sample_id, cluster_id: the representative mapping, one union-find root per record."""
-        return self._mapping.groupBy("sample_id").agg(F.max_by("cluster_id", "version").alias("cluster_id"))
+        """sample_id, cluster_id: one union-find root per record.
+
+        An accepted record stands for itself and a repeat for the least record it repeats. Only clusters
+        that some record joins, by repeating a record of each, get a new root: their least one.
+        """
+        own = self.decisions.groupBy("sample_id").agg(F.min("accepted_id").alias("least"), F.max("accepted_id").alias("most"))
+        own = own.select("sample_id", F.coalesce("least", "sample_id").alias("cluster_id"), "most")
+        joined = own.where("cluster_id < most").select("sample_id", "cluster_id").join(self.links.select("sample_id", "accepted_id"), "sample_id")
+        merged = connected_components(joined.select(F.col("cluster_id").alias("u"), F.col("accepted_id").alias("v")), self.work, f"merged-{len(self.batches)}")
+        return own.select("sample_id", "cluster_id").join(merged.withColumnRenamed("id", "cluster_id"), "cluster_id", "left").select("sample_id", F.coalesce("root", "cluster_id").alias("cluster_id"))
 
     def accept_history(self, records: DataFrame) -> None:
         """Take records as accepted without a check; they are keyed once, here."""
         self.frequent = frequent_grams(records)
         self.work.write(blocking_keys(records, self.frequent), "keys/history")
-        self.work.write(records.limit(0).select(F.col("sample_id").alias("accepted_id"), "sample_id", F.lit(0.0).alias("score")), "links/history")
-        self.work.write(records.select("sample_id", F.col("sample_id").alias("cluster_id"), F.lit(0).alias("version")), "representatives/history")
+        self.work.write(records.select("sample_id", F.lit(None).cast("long").alias("accepted_id"), F.lit(None).cast("double").alias("score")), "decisions/history")
         self.batches = ["history"]
 
     def _candidates(self, left: DataFrame, right: DataFrame, small: bool) -> DataFrame:
@@ -178,18 +185,14 @@ class BatchDeduplicator:
         return pairs.withColumn("score", F.round(1 / (1 + F.exp(-z)), 6))
 
     def _rejected(self, near: DataFrame, tag: str) -> DataFrame:
-        """sample_id of the texts that are not accepted.
+        """sample_id of the texts that are not accepted, where texts of the batch repeat each other.
 
         Whoever repeats an accepted record of the state is out. Inside the batch, a text that repeats no
         open earlier one is accepted, and one that repeats an accepted one is out, until none is open.
         """
-        rejected = near.where("old").select("sample_id").distinct()
-        inside = near.where("not old").select("sample_id", "accepted_id")
-        if inside.isEmpty():
-            return rejected
-        rejected, step = self.work.write(rejected, f"{tag}/rejected-0"), 0
+        rejected, step = self.work.write(near.where("old").select("sample_id").distinct(), f"{tag}/rejected-0"), 0
         without = lambda pairs, gone: pairs.join(gone, "sample_id", "left_anti").join(gone.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
-        pairs = self.work.write(without(inside, rejected), f"{tag}/open-0")
+        pairs = self.work.write(without(near.where("not old").select("sample_id", "accepted_id"), rejected), f"{tag}/open-0")
         while not pairs.isEmpty():
             first = pairs.select("accepted_id").distinct().join(pairs.select(F.col("sample_id").alias("accepted_id")).distinct(), "accepted_id", "left_anti")
             step += 1
@@ -211,41 +214,23 @@ class BatchDeduplicator:
         small = work.size(f"{tag}/keys") <= BROADCAST_BYTES
         against = self._candidates(keys, self.keys, small).withColumn("old", F.lit(True))
         among = self._candidates(keys, keys, small).where("accepted_id < sample_id").withColumn("old", F.lit(False))
-        pairs = work.write(self._score(field_features(against.union(among))), f"{tag}/pairs")
+        seen = Observation()
+        scored = self._score(field_features(against.union(among))).observe(seen, F.count_if(F.col("repeats") & ~F.col("old")).alias("inside"))
+        pairs = work.write(scored, f"{tag}/pairs")
         if self.weights is None:
             self.weights = fit_weights(pairs.select("d0", "d1", "d2", "repeats").limit(FIT_ROWS).toPandas())
         near = pairs.where("repeats")
-        rejected = self._rejected(near, tag)
-        repeats = near.join(rejected.select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti").select("accepted_id", F.col("sample_id").alias("first_id"), "score")
+        if seen.get["inside"]:
+            near = near.join(self._rejected(near, tag).select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
+        # what is left of near are the rejected texts, each with the accepted records that it repeats
+        repeats = near.select(F.col("sample_id").alias("first_id"), "accepted_id", "score")
         copies = batch.join(texts.withColumnRenamed("sample_id", "first_id"), ["replicate", "text"]).select("sample_id", "first_id")
-        by_text = copies.join(repeats, "first_id").select("accepted_id", "sample_id", "score")
-        exact = copies.where("sample_id > first_id").join(rejected.withColumnRenamed("sample_id", "first_id"), "first_id", "left_anti").select(F.col("first_id").alias("accepted_id"), "sample_id", F.lit(1.0).alias("score"))
-        links = work.write(by_text.union(exact), f"links/{number}")
-        work.write(keys.join(rejected, "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), f"keys/{number}")
-        work.write(self._clusters(batch, links, number), f"representatives/{number}")
+        later = F.col("sample_id") > F.col("first_id")
+        decided = copies.join(repeats, "first_id", "left").select("sample_id", F.coalesce("accepted_id", F.when(later, F.col("first_id"))).alias("accepted_id"), F.coalesce("score", F.when(later, 1.0)).alias("score"))
+        decisions = work.write(decided, f"decisions/{number}")
+        work.write(keys.join(decisions.where("accepted_id is not null").select("sample_id"), "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), f"keys/{number}")
         self.batches.append(str(number))
 
-    def _clusters(self, batch: DataFrame, links: DataFrame, number: int) -> DataFrame:
-        """New rows of the mapping: the batch's records, and the members of clusters that it joined.
-
-        A record belongs to the least cluster among the accepted records it repeats, else to itself. One
-        that repeats records of several clusters makes these one; only their members get a new root.
-        """
-        reached = links.select("accepted_id").distinct()
-        known = self._mapping.join(reached.withColumnRenamed("accepted_id", "sample_id"), "sample_id", "left_semi").groupBy("sample_id").agg(F.max_by("cluster_id", "version").alias("cluster_id"))
-        roots = links.join(known.withColumnRenamed("sample_id", "accepted_id"), "accepted_id", "left").select("sample_id", F.coalesce("cluster_id", "accepted_id").alias("cluster_id"))
-        least = roots.groupBy("sample_id").agg(F.min("cluster_id").alias("cluster_id"), F.max("cluster_id").alias("most"))
-        own = batch.select("sample_id").join(least.select("sample_id", "cluster_id"), "sample_id", "left").select("sample_id", F.coalesce("cluster_id", "sample_id").alias("cluster_id"))
-        own = own.withColumn("version", F.lit(number))
-        if least.where("cluster_id < most").isEmpty():
-            return own
-        joined = roots.join(least.select("sample_id", F.col("cluster_id").alias("u")), "sample_id").select("u", F.col("cluster_id").alias("v"))
-        merged = connected_components(joined, self.work, f"batch-{number}/merged")
-        merged = merged.select(F.col("id").alias("cluster_id"), "root")
-        old = self.representatives.join(merged, "cluster_id").select("sample_id", F.col("root").alias("cluster_id"), F.lit(number).alias("version"))
-        new = own.join(merged, "cluster_id", "left").select("sample_id", F.coalesce("root", "cluster_id").alias("cluster_id"), "version")
-        return old.union(new)
-
 
 def deduplicate(samples: DataFrame, work: Workspace) -> BatchDeduplicator:
     """Feed a whole table batch by batch: batch 0 is the history, the others follow in order."""

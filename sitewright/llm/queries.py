@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.functions.text import ascii_upper, strip_blanks
+from sitewright.functions.text import strip_blanks
 from sitewright.llm.corpus_encoding import encode_corpus
 from sitewright.llm.groups import group_records
 from sitewright.llm.incremental import deduplicate
 from sitewright.llm.leakage import leaked_items, reparameterised_items
 from sitewright.llm.near_duplicates import SketchPlan, similar_pairs
+from sitewright.llm.sql import SQL
 from sitewright.llm.truncation import cut_documents, cut_rates, prefix_matches
 from sitewright.session import Workspace, table
 
 SCOPE = ["trial", "subject", "sample", "mode", "refgenome"]
 
 #: Sketches of DNA strings and of read names (see the README for recall and candidates).
-LEADERS = SketchPlan(shingle=9, rows=2, bands=28, common=0.002)
-READS = SketchPlan(shingle=9, rows=2, bands=22, common=0.0005)
+LEADERS = SketchPlan(shingle=9, rows=2, bands=28)
+READS = SketchPlan(shingle=9, rows=2, bands=22)
 
 
 def _clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,11 +73,11 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return prefix_matches(table(spark, sf_dir, "documents"))
+    return prefix_matches(table(spark, sf_dir, "documents"), Workspace(spark, "p8"))
 
 
 def p8_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cut_rates(table(spark, sf_dir, "documents"))
+    return cut_rates(table(spark, sf_dir, "documents"), Workspace(spark, "p8"))
 
 
 QUERIES = {
@@ -93,4 +94,4 @@ QUERIES = {
     "p8_sources": p8_sources,
 }
 
-SQL: dict[str, str] = {}
+__all__ = ["QUERIES", "SQL"]

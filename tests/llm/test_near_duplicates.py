@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from sitewright.llm.near_duplicates import SketchPlan, features, likeliest, registers, similar_pairs
+from sitewright.llm.near_duplicates import SketchPlan, features, likeliest, registers, similar_pairs, sized
 from sitewright.llm.queries import LEADERS, READS
 from sitewright.session import Workspace, table
 
@@ -80,6 +80,20 @@ def test_estimate():
     assert np.abs(j - true).mean() < 0.03
 
 
+def test_plan_grows_with_the_logarithm():
+    got = [(p.shingle, p.bands) for p in (sized(SketchPlan(), n) for n in (0, 999_999, 1_000_000, 4_000_000, 4**6 * 1_000_000))]
+    assert got == [(9, 24), (9, 24), (10, 30), (11, 36), (16, 66)]
+
+
+def test_a_crowded_family(spark):
+    """Most substrings of the family are too common to be sketched; its pairs come out all the same."""
+    rng = random.Random(9)
+    root = "".join(rng.choice("ACGT") for _ in range(60))
+    values = [root, *{edited(rng, root, 2) for _ in range(90)}, *("".join(rng.choice("ACGT") for _ in range(60)) for _ in range(200))]
+    want, got = brute(values), found(spark, values)
+    assert len(want) > 1000 and got <= want and len(got) >= 0.97 * len(want)
+
+
 def test_registers_merge():
     rng = random.Random(3)
     a, b = ("".join(rng.choice("ACGT") for _ in range(90)) for _ in range(2))

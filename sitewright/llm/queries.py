@@ -18,8 +18,8 @@ from sitewright.session import Workspace, table
 SCOPE = ["trial", "subject", "sample", "mode", "refgenome"]
 
 #: Sketches of DNA strings and of read names (see the README for recall and candidates).
-LEADERS = SketchPlan(shingle=9, rows=2, bands=28)
-READS = SketchPlan(shingle=9, rows=2, bands=22)
+LEADERS = SketchPlan(shingle=9, rows=2, bands=34)
+READS = SketchPlan(shingle=9, rows=2, bands=27)
 
 
 def _clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:

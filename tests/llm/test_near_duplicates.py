@@ -105,3 +105,27 @@ def test_registers_merge():
 def test_table(spark, sf):
     reads = [r.readid.strip() for r in table(spark, sf, "buildstdfragments").select("readid").collect()]
     assert found(spark, reads, READS) == brute(reads)
+
+
+def half_common(rng, n):
+    """n pairs of 68 letters, the first 32 the same in all; edits in the rest, similarity 0.60 to 0.65; and as many single values."""
+    start, values, want = "".join(rng.choice("ACGT") for _ in range(32)), [], set()
+    tail = lambda: "".join(rng.choice("ACGT") for _ in range(36))
+    while len(want) < n:
+        a = b = start + tail()
+        for _ in range(12):
+            at = rng.randrange(32, len(b))
+            b = b[:at] + rng.choice(["", *"ACGT"]) + b[at + rng.randrange(2) :]
+            s = len(shingles(a) & shingles(b)) / len(shingles(a) | shingles(b))
+            if s <= 0.65:
+                break
+        if 0.6 <= s <= 0.65:
+            values += [a, b, start + tail()]
+            want.add((min(a, b), max(a, b)))
+    return values, want
+
+
+def test_half_common_start(spark):
+    values, want = half_common(random.Random(11), 400)
+    got = found(spark, values, LEADERS)
+    assert len(got & want) >= 0.95 * len(want), len(got & want) / len(want)

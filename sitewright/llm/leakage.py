@@ -54,6 +54,16 @@ def item_names(texts: list[str]) -> frozenset[str]:
     return frozenset(upper - lower)
 
 
+def foreign_names(text: str, known: frozenset[str]) -> set[str]:
+    """Words outside known that a document capitalises and never writes in lower case: its own names.
+
+    Within an exchanged passage only such words can stand for a name of the item, be it inside or at the start
+    of a sentence; the words of the items, which are known, are names or not as the items have them.
+    """
+    written = set(_WORD.findall(_MARKUP.sub(" ", text.translate(_DROPPED))))
+    return {w.lower() for w in written if len(w) > 1 and w[0].isupper()} - known - written
+
+
 def _placeholder(word: str, names: frozenset[str]) -> str | None:
     if _NUMBER.fullmatch(word):
         return "\0number"
@@ -70,14 +80,18 @@ def _roll(h: np.ndarray) -> np.ndarray:
     return out.view(np.int64)
 
 
-def _windows(wanted_ids: list[int], texts: list[str], names: frozenset[str], wanted: np.ndarray | None):
-    """id, template hash, exact hash and slot words of each window (of those in wanted only)."""
-    place: dict[str, int] = {}
-    lists = [[place.setdefault(w, len(place)) for w in words(t)] for t in texts]
+def _windows(wanted_ids: list[int], texts: list[str], names: frozenset[str], wanted: np.ndarray | None, known: frozenset[str] | None):
+    """id, template hash, exact hash and slot words of each window (of those in wanted only).
+
+    known: if given, the words beyond which a text's own names count as names, too.
+    """
+    place: dict[tuple[str, bool], int] = {}
+    own = [foreign_names(t, known) if known is not None else () for t in texts]
+    lists = [[place.setdefault((w, w in o), len(place)) for w in words(t)] for t, o in zip(texts, own)]
     size = np.fromiter(map(len, lists), np.int64, len(lists))
     flat = np.fromiter((w for x in lists for w in x), np.int64, int(size.sum()))
-    vocabulary = list(place)
-    holders = [_placeholder(w, names) for w in vocabulary]
+    vocabulary = [w for w, _ in place]
+    holders = [_placeholder(w, names) or ("\0name" if o else None) for w, o in place]
     number = lambda s: xxhash.xxh3_64_intdigest(s.encode("utf-8", "surrogatepass"))
     exact = np.fromiter(map(number, vocabulary), np.uint64, len(vocabulary))
     canonical = np.fromiter((number(h or w) for h, w in zip(holders, vocabulary)), np.uint64, len(vocabulary))
@@ -95,34 +109,37 @@ def _windows(wanted_ids: list[int], texts: list[str], names: frozenset[str], wan
 _SCHEMA = "id long, template long, verbatim long, slots array<string>"
 
 
-def template_windows(texts: DataFrame, id_column: str, names: frozenset[str], wanted: np.ndarray | None = None) -> DataFrame:
-    """The windows of all texts, or of those whose template hash is in wanted."""
+def template_windows(texts: DataFrame, id_column: str, names: frozenset[str], wanted: np.ndarray | None = None, known: frozenset[str] | None = None) -> DataFrame:
+    """The windows of all texts, or of those whose template hash is in wanted; known as in foreign_names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = b.column("id").to_pylist(), b.column("text").to_pylist()
             for s in range(0, len(rows), 512):
-                i, t, v, slots = _windows(ids[s : s + 512], rows[s : s + 512], names, wanted)
+                i, t, v, slots = _windows(ids[s : s + 512], rows[s : s + 512], names, wanted, known)
                 yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(t), pa.array(v), pa.array(slots, pa.list_(pa.string()))], ["id", "template", "verbatim", "slots"])
 
     rows = texts.where(F.col("text").isNotNull()).select(F.col(id_column).cast("long").alias("id"), "text")
     return rows.mapInArrow(run, _SCHEMA)
 
 
-def leaked_windows(documents: DataFrame, items: DataFrame) -> DataFrame:
+def leaked_windows(documents: DataFrame, items: DataFrame, exchanged: bool = True) -> DataFrame:
     """doc_id, item_id, verbatim, consistent: each pair of windows with one template.
 
     documents: doc_id, text; items: item_id, text (the fixed test set; its capitalised words give the
     names). A null or short text has no window. The items' window hashes are shipped to the scan of the
     documents while there are at most SHIPPED_WINDOWS; otherwise both sides are shuffled by the hash.
-    consistent: the slots of the two windows correspond one for one.
+    consistent: the slots of the two windows correspond one for one. exchanged: names of the documents that no
+    item has are names, too. No verbatim window holds one, so where only these count it can be left off.
     """
-    names = item_names([r.text for r in items.select("text").where("text is not null").toLocalIterator()])
+    texts = [r.text for r in items.select("text").where("text is not null").toLocalIterator()]
+    names = item_names(texts)
+    item_words = frozenset(w for t in texts for w in words(t)) if exchanged else None
     known = template_windows(items, "item_id", names).distinct()
     wanted = None
     if known.count() <= SHIPPED_WINDOWS:
         wanted = np.unique(known.select("template").toArrow()["template"].to_numpy())
-    found = template_windows(documents, "doc_id", names, wanted)
+    found = template_windows(documents, "doc_id", names, wanted, item_words)
     item = known.select("template", F.col("id").alias("item_id"), F.col("verbatim").alias("item_verbatim"), F.col("slots").alias("item_slots"))
     both = found.distinct().join(item, "template")
     zipped = F.size(F.array_distinct(F.arrays_zip("slots", "item_slots")))
@@ -133,7 +150,7 @@ def leaked_windows(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id: each document and item with a run of RUN equal words in common, once."""
-    return leaked_windows(documents, items).where("verbatim").select("doc_id", "item_id").distinct()
+    return leaked_windows(documents, items, exchanged=False).where("verbatim").select("doc_id", "item_id").distinct()
 
 
 def reparameterised_items(documents: DataFrame, items: DataFrame) -> DataFrame:

@@ -54,3 +54,19 @@ def test_table(spark):
     docs = [(r.doc_id, r.text) for r in table(spark, sf, "documents").collect()]
     items = [(r.item_id, r.text) for r in table(spark, sf, "eval_items").collect()]
     assert {tuple(r) for r in lk.leaked_items(table(spark, sf, "documents"), table(spark, sf, "eval_items")).collect()} == brute(docs, items)
+
+
+def test_names_that_no_item_has(spark):
+    dense = "Tell Zufalja and Belosard that near Mirganth the nine crates of Oldavor hemp went with Kelmori to Pranwick by dawn"
+    swaps = {"Zufalja": "Qorvexa", "Belosard": "Hintrel", "Mirganth": "Sabwick", "Oldavor": "Umtarre", "Kelmori": "Wexholm", "Pranwick": "Yarrobin"}
+    renamed = dense
+    for a, b in swaps.items():
+        renamed = renamed.replace(a, b)
+    one = ITEM.replace("26", "31").replace("Zufalja", "Belosard", 1)
+    mixed = renamed.replace("Hintrel", "Qorvexa")
+    docs = [(1, renamed), (2, "x. " + renamed.replace("Qorvexa", "<b>Qorvexa</b>")), (3, dense), (4, renamed.lower()), (5, renamed.replace("crates", "boxes")), (6, mixed), (7, one), (9, ITEM.replace("Zufalja", "Qorvexa").replace("Belosard", "Hintrel"))]
+    d, i = frames(spark, docs, [(1, ITEM), (2, dense)])
+    pairs = {tuple(r)[:2]: r.windows for r in lk.reparameterised_items(d, i).collect()}
+    assert {(1, 2), (2, 2), (7, 1), (9, 1)} <= set(pairs) and not {(3, 2), (4, 2), (5, 2)} & set(pairs)
+    assert pairs[9, 1] == 7 and pairs[1, 2] > pairs.get((6, 2), 0)
+    assert {tuple(r) for r in lk.leaked_items(d, i).collect()} == {(3, 2)}

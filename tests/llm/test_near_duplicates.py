@@ -129,3 +129,12 @@ def test_half_common_start(spark):
     values, want = half_common(random.Random(11), 400)
     got = found(spark, values, LEADERS)
     assert len(got & want) >= 0.95 * len(want), len(got & want) / len(want)
+
+
+def test_stepped_plan_keeps_recall(spark, monkeypatch):
+    from sitewright.llm import near_duplicates as nd
+
+    monkeypatch.setattr(nd, "sized", lambda plan, n: sized(plan, 8_000_000))
+    values, want = half_common(random.Random(12), 400)
+    got = found(spark, values, LEADERS)
+    assert len(got & want) >= 0.9 * len(want), len(got & want) / len(want)

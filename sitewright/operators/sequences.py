@@ -170,18 +170,19 @@ def global_row_number(df: DataFrame, order: list[Column], work: Workspace, name:
     return numbered.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
 
 
-def binned_consensus(df: DataFrame, seq: str, bins: int, first: int, last: int, work: Workspace) -> DataFrame:
+def binned_consensus(df: DataFrame, seq: str, bins: int, first: int, last: int | None, work: Workspace) -> DataFrame:
     """Per bin and sequence position the most frequent base and its share.
 
     Sequences are ordered by their first 20 letters and then whole; bin b ends at row floor(b * n / bins).
-    Positions first..last. Ties go to A, C, G, T in this order; N counts in the denominator only.
+    Positions first..last, a report window; without last, to the end of each sequence. Ties go to A, C, G, T in this order; N counts in the denominator only.
     """
     rows = df.where(F.length(seq) > 0).select(seq)
     n = rows.count()
     numbered = global_row_number(rows, [F.substring(seq, 1, 20), F.col(seq)], work)
     binned = numbered.select(seq, F.ceil(F.col("row_number") * bins / F.lit(max(n, 1))).cast("int").alias("bin"))
     # equal sequences of a bin are counted once before their letters are spread
-    letters = binned.groupBy("bin", seq).agg(F.count("*").alias("k")).select("bin", "k", F.posexplode(F.split(F.substring(seq, first, last - first + 1), "")).alias("at", "base"))
+    window = F.substring(F.col(seq), F.lit(first), F.length(seq) if last is None else F.lit(last - first + 1))
+    letters = binned.groupBy("bin", seq).agg(F.count("*").alias("k")).select("bin", "k", F.posexplode(F.split(window, "")).alias("at", "base"))
     votes = letters.where("base <> ''").groupBy("bin", "at", "base").agg(F.sum("k").alias("n"))
     total = votes.groupBy("bin", "at").agg(F.sum("n").alias("total"), F.max_by("base", F.when(F.col("base").isin("A", "C", "G", "T"), F.struct(F.col("n"), -F.ascii("base")))).alias("base"), F.max(F.when(F.col("base").isin("A", "C", "G", "T"), F.col("n"))).alias("best"))
     return total.select("bin", (F.col("at") + first).alias("position"), "base", F.round(F.col("best") / F.col("total"), 6).alias("agreement"))

@@ -181,7 +181,7 @@ def score_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sequence_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "known_sites").select(F.upper(strip_blanks(F.col("leaderseq"))).alias("seq"))
-    return binned_consensus(rows, "seq", 50, 1, 60, Workspace(spark, "consensus"))
+    return binned_consensus(rows, "seq", 50, 1, None, Workspace(spark, "consensus"))
 
 
 def topk_barcodes(spark: SparkSession, sf_dir: str) -> DataFrame:

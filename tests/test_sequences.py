@@ -116,3 +116,21 @@ def test_hmm_gate_and_vector_filter(spark):
     assert {r.readid for r in clean.collect()} == {"b", "c", "d"} and {r.readid for r in vector.collect()} == {"a"}
     split = stages.split_leader(reads.withColumn("end", F.lit(4)), "end")
     assert {tuple(r) for r in split.select("readid", "leaderseq", "anchorreadseq").collect()} == {("a", "CCCC", "ACGTA"), ("b", "GGGG", "TTTTT")}
+
+
+def test_consensus_covers_whole_sequences(spark, sf):
+    from sitewright.plans.site_queries import sequence_consensus
+    from sitewright.session import table
+
+    seqs = [r.leaderseq.strip().upper() for r in table(spark, sf, "known_sites").where("leaderseq is not null").select("leaderseq").collect()]
+    seqs = sorted((x for x in seqs if x), key=lambda x: (x[:20], x))
+    votes = {}
+    for i, x in enumerate(seqs, 1):
+        for at, base in enumerate(x, 1):
+            cell = votes.setdefault((-(-i * 50 // len(seqs)), at), {})
+            cell[base] = cell.get(base, 0) + 1
+    want = {k: max((n, -ord(b)) for b, n in c.items() if b in "ACGT") if set(c) & set("ACGT") else None for k, c in votes.items()}
+    got = {(r.bin, r.position): (r.base, r.agreement) for r in sequence_consensus(spark, sf).collect()}
+    assert got.keys() == want.keys() and max(p for _, p in got) == max(map(len, seqs)) > 60
+    for k, best in want.items():
+        assert got[k] == ((chr(-best[1]), round(best[0] / sum(votes[k].values()), 6)) if best else (None, None))

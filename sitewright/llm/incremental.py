@@ -206,27 +206,28 @@ class BatchDeduplicator:
 
         Records come in order of sample_id. One is accepted unless it repeats an accepted record before
         it, of the state or of this batch. Copies of one text are decided once: the first may be accepted,
-        every later copy repeats it, or repeats what the first repeats.
+        every later copy repeats it, or repeats what the first repeats and whatever like it was accepted in between.
         """
         work, tag = self.work, f"batch-{number}"
         texts = batch.groupBy("replicate", "text").agg(F.min("sample_id").alias("sample_id"))
         keys = work.write(blocking_keys(texts, self.frequent), f"{tag}/keys")
         small = work.size(f"{tag}/keys") <= BROADCAST_BYTES
-        against = self._candidates(keys, self.keys, small).withColumn("old", F.lit(True))
-        among = self._candidates(keys, keys, small).where("accepted_id < sample_id").withColumn("old", F.lit(False))
+        against = self._candidates(keys, self.keys, small).withColumn("old", F.lit(True)).withColumn("back", F.lit(False))
+        among = self._candidates(keys, keys, small).where("accepted_id != sample_id").withColumn("old", F.lit(False)).withColumn("back", F.expr("accepted_id > sample_id"))
         seen = Observation()
         scored = self._score(field_features(against.union(among))).observe(seen, F.count_if(F.col("repeats") & ~F.col("old")).alias("inside"))
         pairs = work.write(scored, f"{tag}/pairs")
         if self.weights is None:
-            self.weights = fit_weights(pairs.select("d0", "d1", "d2", "repeats").limit(FIT_ROWS).toPandas())
+            self.weights = fit_weights(pairs.where("not back").select("d0", "d1", "d2", "repeats").limit(FIT_ROWS).toPandas())
         near = pairs.where("repeats")
         if seen.get["inside"]:
-            near = near.join(self._rejected(near, tag).select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
-        # what is left of near are the rejected texts, each with the accepted records that it repeats
-        repeats = near.select(F.col("sample_id").alias("first_id"), "accepted_id", "score")
+            near = near.join(self._rejected(near.where("not back"), tag).select(F.col("sample_id").alias("accepted_id")), "accepted_id", "left_anti")
+        # what is left of near are the rejected texts, each with the accepted records that it repeats; those
+        # that come after its first copy (back) are repeated by the later copies only
+        repeats = near.select(F.col("sample_id").alias("near_id"), "accepted_id", "score", "back")
         copies = batch.join(texts.withColumnRenamed("sample_id", "first_id"), ["replicate", "text"]).select("sample_id", "first_id")
         later = F.col("sample_id") > F.col("first_id")
-        decided = copies.join(repeats, "first_id", "left").select("sample_id", F.coalesce("accepted_id", F.when(later, F.col("first_id"))).alias("accepted_id"), F.coalesce("score", F.when(later, 1.0)).alias("score"))
+        decided = copies.join(repeats, F.expr("first_id = near_id and (not back or accepted_id < sample_id)"), "left").select("sample_id", F.coalesce("accepted_id", F.when(later, F.col("first_id"))).alias("accepted_id"), F.coalesce("score", F.when(later, 1.0)).alias("score"))
         decisions = work.write(decided, f"decisions/{number}")
         work.write(keys.join(decisions.where("accepted_id is not null").select("sample_id"), "sample_id", "left_anti").select("key", "sample_id", "replicate", "text"), f"keys/{number}")
         self.batches.append(str(number))

@@ -91,3 +91,13 @@ def test_table(spark, sf):
     rows = [(r.sample_id, r.batch, r.trial, r.subject, r.sample, r.replicate) for r in df.collect()]
     got = deduplicate(df, Workspace(spark, "t")).links.select("accepted_id", "sample_id").collect()
     assert {tuple(r) for r in got} == brute(rows)
+
+
+def test_accepted_between_copies(spark):
+    """F repeats A and is out; G is like F but not like A, and accepted; the copy C of F repeats both."""
+    a, f, g = "ABCDEFGHIJKLMNOPQRST", "ABCDEFGHIJKLMNOPQRxx", "yyCDEFGHIJKLMNOPQRxx"
+    rows = [(50, 0, "t", "s", a, 1), (1, 1, "t", "s", f, 1), (2, 1, "t", "s", g, 1), (3, 1, "t", "s", f, 1), (4, 1, "t", "s", f, 2), (5, 1, "t", "s", f, 2)]
+    got, state = run(spark, rows)
+    assert got == brute(rows) == {(50, 1), (50, 3), (2, 3), (4, 5)}
+    clusters = {r.sample_id: r.cluster_id for r in state.representatives.collect()}
+    assert len({clusters[x] for x in (50, 1, 2, 3)}) == 1 and clusters[4] != clusters[2]

@@ -1,9 +1,9 @@
 """Deduplication of new batches against everything accepted before (problem 5).
 
-The state lives in tables below one folder: the accepted records, their blocking keys, and for every
-record the accepted one that represents it. A batch probes the blocking-key table; candidates are scored
-field by field with learned weights and verified exactly; only the clusters that the batch touches get
-new representatives. The accepted history is read for the probe but never keyed, compared or rewritten
+The state lives in tables below one folder: the blocking keys of the accepted records, and for every record
+the accepted ones that it repeats. A batch probes the blocking-key table; candidates are scored field by
+field with learned weights and verified exactly. Representatives are derived from the decisions of all
+batches when they are asked for. The accepted history is read for the probe but never keyed, compared or rewritten
 again.
 
 Blocking keys. Two strings at most two edits apart differ in at most 2*GRAM of their character grams, so

@@ -19,7 +19,7 @@ _CUT = rf"""SELECT doc_id, source, t, string_split(t, chr(10)) AS l,
 _FOUND = rf"""SELECT doc_id FROM ({_CUT}) WHERE never OR NOT (
     len(list_filter(l[greatest(len(l) - 3, 1):len(l) - 1], lambda x: regexp_matches(regexp_replace(x, '^[>{_B}]+|[>{_B}]+$', '', 'g'), '^(?:--|[_~]{{4,}})\z'))) > 0
     OR regexp_matches(t, '(?i)(?:</[^<>\n]{{1,60}}>|\[/[^\[\]\n]{{1,60}}\]|<br\s*/?>){_CLOSERS}')
-    OR regexp_matches(t, '(?:[:;]-?[)(DP]|[\x{{2600}}-\x{{27bf}}]|[\x{{1f300}}-\x{{1faff}}]|[.!?…。！？]){_CLOSERS}')
+    OR regexp_matches(t, '(?:[:;]-?[)(DP]|[\x{{2600}}-\x{{27bf}}\x{{1f300}}-\x{{1faff}}][\x{{fe0e}}\x{{fe0f}}]?|[.!?…。！？]){_CLOSERS}')
     OR regexp_matches({_LINE}, '(?i)^(?:https?://|www\.)\S+\z')
     OR (len(regexp_split_to_array({_LINE}, '[{_B}]+')) <= 4 AND length({_LINE}) <= 30))"""
 _PREFIXES = f"""SELECT d.doc_id, v.whole_id FROM ({_TEXT}) d JOIN (

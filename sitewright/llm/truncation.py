@@ -20,7 +20,8 @@ from sitewright.session import Workspace
 # How a text may end. Fixed values.
 _CLOSERS = r"""["'”’»)\]}*_\s\x{00a0}]*\z"""
 _STOP = r"[.!?…。！？]"
-_SMILEY = r"[:;]-?[)(DP]|[\x{2600}-\x{27bf}]|[\x{1f300}-\x{1faff}]"
+# An emoji may carry a variation selector, which belongs to it.
+_SMILEY = r"[:;]-?[)(DP]|(?:[\x{2600}-\x{27bf}]|[\x{1f300}-\x{1faff}])[\x{fe0e}\x{fe0f}]?"
 _CLOSING_TAG = r"</[^<>\n]{1,60}>|\[/[^\[\]\n]{1,60}\]|<br\s*/?>"
 _NEVER = "|".join(
     [

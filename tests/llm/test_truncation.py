@@ -19,7 +19,7 @@ LONG = "this is a long enough last line without any stop at all"
 CASES = [
     (None, "empty"), ("", "empty"), (" \n ", "empty"),
     (LONG, "cut"), (LONG + ".", "finished"), (LONG + '."  ', "finished"), (LONG + " �", "cut"), (LONG + " [...]", "cut"), (LONG + " (…)", "cut"),
-    (LONG + "...", "finished"), (LONG + "。", "finished"), (LONG + " :-)", "finished"), (LONG + " \U0001f600", "finished"), (LONG + " <br>", "finished"), (LONG + "</quote>", "finished"),
+    (LONG + "...", "finished"), (LONG + "。", "finished"), (LONG + " :-)", "finished"), (LONG + " \U0001f600", "finished"), (LONG + " \U0001f6e0\ufe0f", "finished"), (LONG + " \u2764\ufe0e) ", "finished"), (LONG + " \ufe0f", "cut"), (LONG + " <br>", "finished"), (LONG + "</quote>", "finished"),
     (LONG + "[/quote]", "finished"), (LONG + ". <b", "cut"), (LONG + ". [url=abc", "cut"), (LONG + ".&am", "cut"), (LONG + ". &", "cut"), (LONG + ". <" + "a" * 61, "cut"), (LONG + ".\n<" + "a" * 61, "cut"),
     (LONG + "\nBob", "finished"), (LONG + "\n> > many thanks Bob", "finished"), (LONG + "\none two three four five", "cut"), (LONG + "\nhttp://example.org/" + "a" * 60, "finished"),
     ("--\n" + LONG, "finished"), ("--\na\nb\n" + LONG, "finished"), ("--\na\nb\nc\n" + LONG, "cut"), ("> ____ \n" + LONG, "finished"), ("___\n" + LONG, "cut"), ("~~~~\nx\n" + LONG, "finished"),

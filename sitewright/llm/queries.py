@@ -18,8 +18,8 @@ from sitewright.session import Workspace, table
 SCOPE = ["trial", "subject", "sample", "mode", "refgenome"]
 
 #: Sketches of DNA strings and of read names (see the README for recall and candidates).
-LEADERS = SketchPlan(shingle=11, bands=20)
-READS = SketchPlan(shingle=11, bands=20)
+LEADERS = SketchPlan()
+READS = SketchPlan()
 
 
 def _clustered_reads(spark: SparkSession, sf_dir: str) -> DataFrame:

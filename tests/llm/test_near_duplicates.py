@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from sitewright.llm.near_duplicates import SketchPlan, features, likeliest, registers, similar_pairs, sized
+from sitewright.llm.near_duplicates import NEXT_BITS, SketchPlan, candidate_groups, common_substrings, features, likeliest, may_reach, registers, shared_share, similar_pairs
 from sitewright.llm.queries import LEADERS, READS
 from sitewright.session import Workspace, table
 
@@ -80,9 +80,39 @@ def test_estimate():
     assert np.abs(j - true).mean() < 0.03
 
 
-def test_plan_grows_with_the_logarithm():
-    got = [(p.shingle, p.bands) for p in (sized(SketchPlan(), n) for n in (0, 999_999, 1_000_000, 4_000_000, 4**6 * 1_000_000))]
-    assert got == [(9, 24), (9, 24), (10, 30), (11, 36), (16, 66)]
+def test_threshold_is_not_excluded_for_similar_pairs():
+    rng = random.Random(4)
+    values = ["".join(rng.choice("ACGT") for _ in range(120)) for _ in range(200)]
+    row, h = features(values + [edited(rng, v, 2) for v in values], 5)
+    k, _ = registers(row, h, 400, 32, 3)
+    size = np.bincount(row)
+    check = lambda other: may_reach(0.6, 4, (k[:200] > other).sum(1), (k[:200] < other).sum(1), 32, size[:200], size[200:])
+    assert check(k[200:]).all() and check(np.roll(k[200:], 1, 0)).mean() < 0.1
+
+
+def test_exact_share():
+    rng = random.Random(6)
+    values = ["".join(rng.choice("ab日本") for _ in range(rng.randrange(40))) for _ in range(60)] + ["", "abcde", "x" * 500, "\ud800abcdef"]
+    i, j = (np.array([rng.randrange(len(values)) for _ in range(500)]) for _ in range(2))
+    for k in (3, 5, 40):
+        want = [len(x & y) / max(len(x | y), 1) for x, y in ((shingles(values[a], k), shingles(values[b], k)) for a, b in zip(i, j))]
+        assert np.allclose(shared_share(values, i, j, k), want)
+
+
+def test_crowds_are_split_and_dense_groups_kept():
+    key = lambda own, second, third: (own << 2 * NEXT_BITS) | (second << NEXT_BITS) | third
+    few, dense = [key(1, x, 0) for x in range(5)], [key(2, 7, x) for x in range(30)]
+    crowd = sorted(key(3, x % 40, x // 40) for x in range(80))
+    begin = candidate_groups(np.array(few + dense + crowd), SketchPlan())
+    assert begin[:35].sum() == 2 and begin[35:].sum() == 40
+
+
+def test_common_by_share(spark):
+    values = [f"{i:06}" * 3 + "a common part of all values" for i in range(600)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, value string")
+    found = common_substrings(df, SketchPlan())
+    _, h = features(["a common part of all values"], 16)
+    assert set(h.tolist()) <= set(found.tolist()) and len(found) < 40
 
 
 def test_a_crowded_family(spark):
@@ -129,12 +159,3 @@ def test_half_common_start(spark):
     values, want = half_common(random.Random(11), 400)
     got = found(spark, values, LEADERS)
     assert len(got & want) >= 0.95 * len(want), len(got & want) / len(want)
-
-
-def test_stepped_plan_keeps_recall(spark, monkeypatch):
-    from sitewright.llm import near_duplicates as nd
-
-    monkeypatch.setattr(nd, "sized", lambda plan, n: sized(plan, 8_000_000))
-    values, want = half_common(random.Random(12), 400)
-    got = found(spark, values, LEADERS)
-    assert len(got & want) >= 0.9 * len(want), len(got & want) / len(want)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sitewright.functions.text import strip_blanks
+from sitewright.functions.text import bind, strip_blanks
 
 
 def revcomp(c: Column) -> Column:
@@ -23,28 +23,39 @@ def posid(chrom: Column, strand: Column, pos: Column) -> Column:
     return F.concat(chrom, strand, pos.cast("string"))
 
 
-def posid_parts(c: Column) -> tuple[Column, Column, Column]:
-    """Chromosome, strand and coordinate of a position id."""
-    return (
-        F.regexp_extract(c, r"^([^+-]+)[+-]", 1),
-        F.regexp_extract(c, r"^[^+-]+([+-])", 1),
-        F.regexp_extract(c, r"^[^+-]+[+-](\d+)$", 1).cast("long"),
-    )
+def parsed_position(c: Column) -> Column:
+    """Chrom, strand, pos and posid of a position id as one struct, from one pass over the string.
 
+    One spelling for a position, whatever the outer blanks, letter case or number format: the coordinate may be
+    in scientific notation (1.1e+02). Null and blank give a null posid; a string that is no position keeps its
+    trimmed lower-case form as posid, so that it stays a key of its own, and has no parts.
+    """
 
-def canonical_posid(c: Column) -> Column:
-    """One spelling for a position, whatever the outer blanks, letter case or number format.
+    def parts(t: Column, sign: Column, number: Column) -> Column:
+        plain = (F.translate(number, "0123456789", "") == "") & F.length(number).between(1, 15)
+        whole = F.when(plain, number.try_cast("long")).when(number.rlike(r"^\d+(?:\.\d*)?(?:e[+-]?\d+)?\z"), F.round(number.try_cast("double")).cast("long"))
+        chrom = F.substring(t, F.lit(1), sign - 1)
+        chrom = F.when(chrom.startswith("chr"), F.concat(F.lit("chr"), F.upper(F.substring(t, F.lit(4), sign - 4)))).otherwise(chrom)
+        named = lambda w, found: F.struct(
+            F.when(found, chrom).alias("chrom"),
+            F.when(found, F.substring(t, sign, F.lit(1))).alias("strand"),
+            F.when(found, w).alias("pos"),
+            F.when(found, F.concat(chrom, F.substring(t, sign, F.lit(1)), w.cast("string"))).when(t != "", t).alias("posid"),
+        )
+        return bind(whole, lambda w: named(w, (sign > 1) & w.isNotNull()))
 
-    The coordinate may be in scientific notation (1.1e+02). Null and blank give null; a string that is
-    no position keeps its trimmed lower-case form, so that it stays a key of its own.
-    """
-    t = F.lower(strip_blanks(c))
-    number = F.regexp_extract(t, r"^[^+-]+[+-](\d+(?:\.\d*)?(?:e[+-]?\d+)?)$", 1)
-    chrom = F.regexp_extract(t, r"^([^+-]+)[+-]", 1)
-    chrom = F.when(chrom.startswith("chr"), F.concat(F.lit("chr"), F.upper(F.substring(chrom, 4, 1000)))).otherwise(chrom)
-    whole = F.when(number.rlike(r"^\d{1,15}$"), number.cast("long")).otherwise(F.round(number.try_cast("double")).cast("long"))
-    spelled = F.concat(chrom, F.regexp_extract(t, r"^[^+-]+([+-])", 1), whole.cast("string"))
-    return F.when(t == "", None).when(number != "", F.coalesce(spelled, t)).otherwise(t)
+    first = lambda t: F.coalesce(F.least(F.nullif(F.instr(t, "+"), F.lit(0)), F.nullif(F.instr(t, "-"), F.lit(0))), F.lit(0))
+    return bind(F.lower(strip_blanks(c)), lambda t: bind(first(t), lambda sign: bind(F.substring(t, sign + 1, F.length(t)), lambda number: parts(t, sign, number))))
+
+
+def with_positions(df: DataFrame, column: str, *keep: Column | str) -> DataFrame:
+    """The kept columns and chrom, strand, pos, posid of the rows whose column is a position."""
+    return df.select(*keep, F.inline(F.filter(F.array(parsed_position(F.col(column))), lambda x: x["pos"].isNotNull())))
+
+
+def canonical_posid(c: Column) -> Column:
+    """The one spelling of a position (see parsed_position)."""
+    return parsed_position(c)["posid"]
 
 
 def psl_percent_identity(matches: Column, mismatches: Column, rep: Column, q_ins: Column, q_ali: Column, t_ali: Column) -> Column:

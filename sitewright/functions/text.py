@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: What counts as a blank: ASCII white space and the Unicode spaces, no-break space included.
 BLANKS = r"[\s\x{0085}\x{00a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+#: The same, one by one.
+BLANK_LETTERS = "\t\n\x0b\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def strip_blanks(c: Column) -> Column:
     """Remove outer blanks (tabs and no-break spaces included)."""
-    return F.regexp_replace(c, f"^{BLANKS}+|{BLANKS}+$", "")
+    return F.btrim(c, F.lit(BLANK_LETTERS))
+
+
+def bind(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), where value is computed once however often f uses it."""
+    return F.transform(F.array(value), f)[0]
 
 
 def ascii_upper(c: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitewright.session import Workspace
+
 
 def _bucket(c: Column, width: int) -> Column:
     return F.floor(c / width)
@@ -58,15 +60,17 @@ def fill_down(rows: DataFrame, heads: DataFrame, keys: list[str], width: int = 1
     return nearest_edge(rows, heads, keys, True, width).distinct()
 
 
-def nearest_join(points: DataFrame, intervals: DataFrame, keys: list[str], pos: str, start: str, end: str, width: int = 1 << 18) -> DataFrame:
+def nearest_join(points: DataFrame, intervals: DataFrame, keys: list[str], pos: str, start: str, end: str, width: int = 1 << 18, work: Workspace | None = None) -> DataFrame:
     """Each distinct point with all its nearest intervals: keys, pos, distance and the interval's columns.
 
     distance is 0 inside an interval, else the difference to its nearest edge. A point whose keys have no
-    interval is not in the result. Equal intervals are all kept.
+    interval is not in the result. Equal intervals are all kept. Both sides are used several times: with a
+    work folder they are written there once.
     """
     spots = points.select(*keys, F.col(pos).cast("long").alias("pos")).where("pos is not null").distinct()
     named = intervals.withColumn("_start", F.col(start).cast("long")).withColumn("_end", F.col(end).cast("long")).where("_start <= _end")
-    inside = overlap_join(spots, named, keys, "pos", "_start", "_end", width).withColumn("distance", F.lit(0).cast("long"))
+    spots, named = Workspace.settle(spots, work, "spots"), Workspace.settle(named, work, "intervals")
+    inside = Workspace.settle(overlap_join(spots, named, keys, "pos", "_start", "_end", width).withColumn("distance", F.lit(0).cast("long")), work, "inside")
     outside = spots.join(inside.select(*keys, "pos").distinct(), [*keys, "pos"], "left_anti")
     left = nearest_edge(outside, named.select(*keys, F.col("_end").alias("edge")).distinct(), keys, True, width).withColumnRenamed("edge", "left_edge")
     right = nearest_edge(outside, named.select(*keys, F.col("_start").alias("edge")).distinct(), keys, False, width).withColumnRenamed("edge", "right_edge")

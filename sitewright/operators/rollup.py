@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitewright.session import Workspace
+
 
 def collapse_duplicates(df: DataFrame, keys: list[str], order: str, first: list[str]) -> DataFrame:
     """A1: one row per key with the number of rows and, of the others, the values of the first row by order. Null keys group together."""
@@ -30,9 +32,9 @@ def fragment_rollup(df: DataFrame, keys: list[str], reads: str, read: str, leade
     return sums.join(modal_value(df, keys, leader, "rep_leader"), keys, "left")
 
 
-def site_rollup(df: DataFrame, keys: list[str], replicate: str, width: str, reads: str) -> DataFrame:
+def site_rollup(df: DataFrame, keys: list[str], replicate: str, width: str, reads: str, work: Workspace | None = None) -> DataFrame:
     """Reads, replicates seen, and break lengths distinct per replicate (summed) and over the whole site."""
-    per_width = df.groupBy(*keys, replicate, width).agg(F.sum(reads).alias("_reads"))
+    per_width = Workspace.settle(df.groupBy(*keys, replicate, width).agg(F.sum(reads).alias("_reads")), work, "widths")
     per_rep = per_width.groupBy(*keys, replicate).agg(F.sum("_reads").alias("_reads"), F.count(width).alias("_widths"))
     sites = per_rep.groupBy(*keys).agg(F.sum("_reads").alias("reads"), F.sum("_widths").alias("sonic_lengths"), F.count("*").alias("n_reps_obs"))
     across = per_width.select(*keys, width).distinct().groupBy(*keys).agg(F.count(width).alias("sonic_lengths_sample"))
@@ -46,8 +48,24 @@ def site_umis(df: DataFrame, keys: list[str], umi: str, masked: str = "AAAAAAAAA
     return distinct.join(F.broadcast(real)).withColumn("n_umis", F.when(F.col("_real"), F.col("n_umis"))).drop("_real")
 
 
+#: Replicates for which columns are made at most.
+MOST_REPLICATES = 500
+
+
+def replicate_range(df: DataFrame, replicate: str) -> list[int]:
+    """Every replicate from the least to the greatest of the whole input, gaps included; too many are an error."""
+    low, high = df.agg(F.min(replicate), F.max(replicate)).first()
+    if low is None:
+        return []
+    if high - low >= MOST_REPLICATES:
+        raise ValueError(f"replicates from {low} to {high}: more than {MOST_REPLICATES} columns")
+    return list(range(low, high + 1))
+
+
 def replicate_columns(df: DataFrame, keys: list[str], replicate: str, replicates: list[int], width: str, reads: str) -> DataFrame:
-    """rep<N>_reads and rep<N>_sonic_lengths for every replicate in the list, null where it is missing."""
+    """rep<N>_reads and rep<N>_sonic_lengths for every replicate in the list (see replicate_range), null where it is missing."""
+    if not replicates:
+        return df.select(*keys).distinct()
     per_rep = df.groupBy(*keys, replicate).agg(F.sum(reads).alias("r"), F.count_distinct(width).alias("s"))
     wide = per_rep.groupBy(*keys).pivot(replicate, replicates).agg(F.first("r").alias("reads"), F.first("s").alias("sonic_lengths"))
     return wide.select(*keys, *[F.col(f"`{n}_{c}`").alias(f"rep{n}_{c}") for n in replicates for c in ("reads", "sonic_lengths")])

@@ -20,29 +20,50 @@ def mismatches(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), F.aggregate(letters, F.lit(0), lambda s, x: s + x))
 
 
-def match_barcodes(reads: DataFrame, seq: str, barcodes: DataFrame, barcode: str, length: int, most: int = 1) -> DataFrame:
-    """each distinct read sequence with every distinct barcode at most `most` substitutions away.
+def match_barcodes(reads: DataFrame, seq: str, barcodes: DataFrame, barcode: str, most: int = 1) -> DataFrame:
+    """each distinct read sequence with every distinct barcode of its length at most `most` substitutions away.
 
-    Two such strings agree in one of most + 1 equal segments, so the theta join is an equi-join on the
-    segments, whose candidates are then counted exactly. Only sequences of the given length match. Columns:
+    Two such strings agree in one of most + 1 equal segments, so the theta join is an equi-join on the length
+    and the segments, whose candidates are then counted exactly. Barcodes may have several lengths. Columns:
     seq, barcode, mismatches.
     """
-    cuts = [round(i * length / (most + 1)) for i in range(most + 2)]
-    segments = lambda c: F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.substring(c, cuts[i] + 1, cuts[i + 1] - cuts[i]).alias("s")) for i in range(most + 1)]))
-    left = reads.select(seq).where(F.length(seq) == length).distinct().withColumn("_seg", segments(F.col(seq)))
-    right = barcodes.select(barcode).where(F.length(barcode) == length).distinct().withColumn("_seg", segments(F.col(barcode)))
+    cut = lambda c, i: F.floor((F.length(c) * i + (most + 1) // 2) / (most + 1)).cast("int")
+    segment = lambda c, i: F.struct(F.length(c).alias("n"), F.lit(i).alias("i"), F.substring(c, cut(c, i) + 1, cut(c, i + 1) - cut(c, i)).alias("s"))
+    listed = lambda df, c: df.select(c).where(F.length(c) > 0).distinct().withColumn("_seg", F.explode(F.array(*[segment(F.col(c), i) for i in range(most + 1)])))
+    both = listed(reads, seq).join(listed(barcodes, barcode), "_seg")
     if most == 1:  # for strings of one length a Levenshtein distance up to 1 is the number of substitutions
         near = F.levenshtein(seq, barcode, 1)
-        return left.join(right, "_seg").where(near >= 0).select(seq, barcode, near.alias("mismatches")).distinct()
-    return left.join(right, "_seg").withColumn("mismatches", mismatches(F.col(seq), F.col(barcode))).where(F.col("mismatches") <= most).select(seq, barcode, "mismatches").distinct()
+        return both.where(near >= 0).select(seq, barcode, near.alias("mismatches")).distinct()
+    return both.withColumn("mismatches", mismatches(F.col(seq), F.col(barcode))).where(F.col("mismatches") <= most).select(seq, barcode, "mismatches").distinct()
 
 
-def assign_reads(reads: DataFrame, read: str, seq: str, barcodes: DataFrame, barcode: str, length: int, most: int = 1) -> DataFrame:
+def match_anywhere(reads: DataFrame, seq: str, patterns: DataFrame, pattern: str, most: int = 1, overhang: bool = False) -> DataFrame:
+    """F1, §2.13 b: each distinct sequence with the first place (from 1) at which a pattern lies in it, at most `most` substitutions away.
+
+    overhang: the pattern may reach over either end of the sequence, and the letters beyond count as substitutions.
+    A pattern of n letters with few substitutions has one of most + 1 segments unchanged, so that each window is
+    an equi-join on the segment and its place. Columns: seq, pattern, place, mismatches.
+    """
+    pad = most if overhang else 0
+    wide = patterns.select(pattern).where(F.length(pattern) > most).distinct()
+    cut = lambda i: F.floor(F.length(pattern) * i / (most + 1)).cast("int")
+    parts = wide.withColumn("_seg", F.explode(F.array(*[F.struct(cut(i).alias("from"), F.substring(F.col(pattern), cut(i) + 1, cut(i + 1) - cut(i)).alias("s")) for i in range(most + 1)])))
+    sizes = [r[0] for r in parts.select(F.length("_seg.s")).distinct().limit(1000).collect()]  # lengths, not patterns
+    padded = reads.select(seq).where(F.col(seq).isNotNull()).distinct().withColumn("_text", F.concat(F.repeat(F.lit("\0"), F.lit(pad)), seq, F.repeat(F.lit("\0"), F.lit(pad))))
+    grams = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text") - n + 1, F.lit(1))), lambda p: F.struct(p.alias("p"), F.substring(F.col("_text"), p, F.lit(n)).alias("s")))
+    windows = padded.withColumn("_w", F.explode(F.concat(*[grams(n) for n in sizes]))) if sizes else padded.limit(0).withColumn("_w", F.struct(F.lit(1).alias("p"), F.lit("").alias("s")))
+    near = windows.join(parts, F.col("_w.s") == F.col("_seg.s")).withColumn("_at", F.col("_w.p") - F.col("_seg.from"))
+    inside = near.where((F.col("_at") >= 1) & (F.col("_at") + F.length(pattern) - 1 <= F.length("_text")))
+    hits = inside.withColumn("mismatches", mismatches(F.substring(F.col("_text"), F.col("_at"), F.length(pattern)), F.col(pattern))).where(F.col("mismatches") <= most)
+    return hits.groupBy(seq, pattern).agg(F.min(F.struct((F.col("_at") - pad).alias("place"), "mismatches")).alias("_h")).select(seq, pattern, "_h.place", "_h.mismatches")
+
+
+def assign_reads(reads: DataFrame, read: str, seq: str, barcodes: DataFrame, barcode: str, most: int = 1) -> DataFrame:
     """read and barcode of the reads that match exactly one barcode; all others are left out.
 
     Sequences are matched once, however many reads have them.
     """
-    matched = match_barcodes(reads, seq, barcodes, barcode, length, most)
+    matched = match_barcodes(reads, seq, barcodes, barcode, most)
     single = matched.groupBy(seq).agg(F.count("*").alias("_n"), F.min(barcode).alias(barcode)).where("_n = 1").select(seq, barcode)
     per_read = reads.select(read, seq).distinct().join(single, seq)
     once = per_read.groupBy(read).agg(F.count("*").alias("_n"), F.min(barcode).alias(barcode)).where("_n = 1")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sitewright.operators.rangejoin import band_join, nearest_join, overlap_join
 from sitewright.operators.rollup import modal_value
+from sitewright.session import Workspace
 
 
 def shifted_position(strand: Column, pos: Column, distance: int = 2) -> Column:
@@ -19,31 +20,36 @@ def oriented_strand(mode: Column, strand: Column) -> Column:
     return F.when(mode.contains("U3"), F.when(strand == "+", "-").otherwise("+")).otherwise(strand)
 
 
-def reciprocal_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_pos: str, right_pos: str, reach: int = 6) -> DataFrame:
+def reciprocal_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_pos: str, right_pos: str, reach: int = 6, work: Workspace | None = None) -> DataFrame:
     """Pairs within reach that are the only partner of each other.
 
     left and right: distinct (keys, position). Degrees are grouped counts joined back.
     """
     pairs = band_join(left, right, keys, left_pos, right_pos, reach).select(*keys, left_pos, right_pos).distinct()
+    pairs = Workspace.settle(pairs, work, "near")
     one = lambda side: pairs.groupBy(*keys, side).agg(F.count("*").alias("_n")).where("_n = 1").select(*keys, side)
     return pairs.join(one(left_pos), [*keys, left_pos], "left_semi").join(one(right_pos), [*keys, right_pos], "left_semi")
 
 
-def dual_detections(df: DataFrame, scope: list[str], reach: int = 6, distance: int = 2) -> DataFrame:
+def dual_detections(df: DataFrame, scope: list[str], reach: int = 6, distance: int = 2, work: Workspace | None = None) -> DataFrame:
     """§2.13 k: sites seen from both ends.
 
     df: scope columns, chrom, strand, pos, mode (U3 or U5), leader, reads, replicate, width. A U5 and a U3
     position on opposite strands of a chromosome, at most reach apart and only partners of each other, are
     one site: at the modal shifted position (ties: the least as a string), on the opposite of the U3
     strand, with both modal leaders. Columns: scope, chrom, strand, pos, leader, reads, sonic_lengths.
+    With a work folder, the two ends, their pairs and the rows of the pairs are written there once.
     """
+    df = Workspace.settle(df.select(*scope, "chrom", "strand", "pos", "mode", "leader", "reads", "replicate", "width"), work, "ends")
     keys = [*scope, "chrom", "u3_strand"]
     u3 = df.where(F.col("mode").contains("U3")).withColumn("u3_strand", F.col("strand"))
     u5 = df.where(F.col("mode").contains("U5")).withColumn("u3_strand", F.when(F.col("strand") == "+", "-").otherwise("+"))
     pairs = reciprocal_pairs(u5.select(*keys, F.col("pos").alias("u5_pos")).distinct(), u3.select(*keys, F.col("pos").alias("u3_pos")).distinct(), keys, "u5_pos", "u3_pos", reach)
+    pairs = Workspace.settle(pairs, work, "pairs")
     rows = u5.withColumnRenamed("pos", "u5_pos").join(pairs, [*keys, "u5_pos"]).select(*keys, "u5_pos", "u3_pos", F.col("u5_pos").alias("pos"), "strand", "mode", "leader", "reads", "replicate", "width").unionByName(
         u3.withColumnRenamed("pos", "u3_pos").join(pairs, [*keys, "u3_pos"]).select(*keys, "u5_pos", "u3_pos", F.col("u3_pos").alias("pos"), "strand", "mode", "leader", "reads", "replicate", "width")
     )
+    rows = Workspace.settle(rows, work, "rows")
     pair = [*keys, "u5_pos", "u3_pos"]
     at = modal_value(rows.withColumn("_at", shifted_position(F.col("strand"), F.col("pos"), distance).cast("string")), pair, "_at", "site_pos")
     leaders = modal_value(rows, [*pair, "mode"], "leader", "leader").groupBy(*pair).agg(F.max(F.when(F.col("mode").contains("U3"), F.col("leader"))).alias("l3"), F.max(F.when(F.col("mode").contains("U5"), F.col("leader"))).alias("l5"))
@@ -53,16 +59,17 @@ def dual_detections(df: DataFrame, scope: list[str], reach: int = 6, distance: i
     return sums.join(at, pair).join(leaders, pair).select(*scope, "chrom", strand.alias("strand"), F.col("site_pos").cast("long").alias("pos"), F.concat_ws("/", "l3", "l5").alias("leader"), "reads", "sonic_lengths")
 
 
-def annotate_nearest(sites: DataFrame, genes: DataFrame, exons: DataFrame, keys: list[str]) -> DataFrame:
+def annotate_nearest(sites: DataFrame, genes: DataFrame, exons: DataFrame, keys: list[str], work: Workspace | None = None) -> DataFrame:
     """J8, J9, J11, §2.13 l: in_gene, in_exon, nearest_gene, nearest_dist, nearest_strand, before_nearest per distinct site.
 
     sites: keys, pos. genes, exons: keys, start, end, strand, gene (inclusive intervals; strand is
     ignored in distances). All nearest genes are joined by commas in order of start, end, gene. A site on a
-    chromosome without genes keeps in_gene false and null nearest columns.
+    chromosome without genes keeps in_gene false and null nearest columns. With a work folder, sites and genes
+    are written there once.
     """
-    spots = sites.select(*keys, F.col("pos").cast("long").alias("pos")).distinct()
+    spots = Workspace.settle(sites.select(*keys, F.col("pos").cast("long").alias("pos")).distinct(), work, "sites")
     genes = genes.select(*keys, "start", "end", F.col("strand").alias("gene_strand"), "gene")
-    near = nearest_join(spots, genes, keys, "pos", "start", "end")
+    near = nearest_join(spots, genes, keys, "pos", "start", "end", work=work)
     named = near.groupBy(*keys, "pos").agg(
         F.min("distance").alias("nearest_dist"), F.min("start").alias("_first"), F.array_sort(F.collect_set(F.struct("start", "end", "gene", "gene_strand"))).alias("_hits")
     )

@@ -40,13 +40,14 @@ def _corrected_sql(source: str, keys: list[str], window: int, radius: int, shrin
 
 def site_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: standardize, roll up to sites, relative abundance (a, A9, A10, A12)."""
-    moved = standardize_positions(_hits(spark, sf_dir), ["chrom", "strand"], "coord", "reads", 8, 4, 4)
-    sites = site_rollup(moved.withColumn("posid", F.concat("chrom", "strand", F.col("corrected").cast("string"))), ["chrom", "posid"], "replicate", "width", "reads")
-    return relative_abundance(sites, ["chrom"], "sonic_lengths")
+    work = Workspace(spark, "pipeline")
+    moved = standardize_positions(_hits(spark, sf_dir), ["chrom", "strand"], "coord", "reads", 8, 4, 4, work)
+    sites = site_rollup(moved.withColumn("posid", F.concat("chrom", "strand", F.col("corrected").cast("string"))), ["chrom", "posid"], "replicate", "width", "reads", work)
+    return relative_abundance(work.write(sites, "sites"), ["chrom"], "sonic_lengths")
 
 
 def position_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standardize_positions(_hits(spark, sf_dir), ["chrom", "strand"], "coord", "reads", 8, 4, 4).groupBy("chrom", "strand", "coord", "corrected").agg(F.count("*").alias("reads"))
+    return standardize_positions(_hits(spark, sf_dir), ["chrom", "strand"], "coord", "reads", 8, 4, 4, Workspace(spark, "positions")).groupBy("chrom", "strand", "coord", "corrected").agg(F.count("*").alias("reads"))
 
 
 def anchor_local_maxima(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +59,7 @@ def _breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def breakpoint_standardize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return standardize_breakpoints(_breaks(spark, sf_dir), ["l_partkey"], "coord", "reads", "l_orderkey").groupBy("l_partkey", "coord", "corrected").agg(F.count("*").alias("reads"))
+    return standardize_breakpoints(_breaks(spark, sf_dir), ["l_partkey"], "coord", "reads", "l_orderkey", work=Workspace(spark, "breaks")).groupBy("l_partkey", "coord", "corrected").agg(F.count("*").alias("reads"))
 
 
 _GATED = "SELECT l_partkey FROM breaks GROUP BY 1 HAVING count(DISTINCT l_orderkey) > 1 AND count(DISTINCT coord) > 1"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.functions.genome import canonical_posid
+from sitewright.functions.genome import parsed_position
 from sitewright.operators.heavy_keys import aggregate_skewed
 from sitewright.operators.sheet_parser import loaded_rows, rejected_rows
 from sitewright.session import table
@@ -13,7 +13,8 @@ from sitewright.session import table
 
 def p1_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, reads and fragments of every position."""
-    sites = table(spark, sf_dir, "known_sites").select(canonical_posid(F.col("posid")).alias("posid"), "nreads", "nfrags")
+    rows = table(spark, sf_dir, "known_sites").select("nreads", "nfrags", F.inline(F.filter(F.array(parsed_position(F.col("posid"))), lambda x: x["posid"].isNotNull())))
+    sites = rows.select("posid", "nreads", "nfrags")
     return aggregate_skewed(sites, "posid", [F.count("*").alias("n_rows"), F.sum("nreads").cast("long").alias("sum_nreads"), F.sum("nfrags").cast("long").alias("sum_nfrags")])
 
 

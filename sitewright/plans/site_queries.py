@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sitewright.functions.genome import canonical_posid, posid, posid_parts, revcomp, trim_poly_g
+from sitewright.functions.genome import posid, revcomp, trim_poly_g, with_positions
 from sitewright.functions.text import normalize_id, strip_blanks, valid_id
 from sitewright.operators.components import connected_components
 from sitewright.operators.fragments import anchor_competition, position_counts, rescue_reads, shortest_fragment
 from sitewright.operators.rangejoin import band_join, fill_down, nearest_edge, nearest_join, overlap_join
-from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, site_rollup, site_umis, weighted_histogram
+from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, replicate_range, site_rollup, site_umis, weighted_histogram
 from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, quality_trim
 from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, shifted_position
 from sitewright.session import Workspace, table
@@ -27,8 +27,7 @@ def _fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct chromosome and coordinate of the known sites."""
-    at = posid_parts(canonical_posid(F.col("posid")))
-    return table(spark, sf_dir, "known_sites").select(at[0].alias("chrom"), at[1].alias("strand"), at[2].alias("pos"), "nreads", *SAMPLE).where("pos is not null")
+    return with_positions(table(spark, sf_dir, "known_sites"), "posid", "nreads", *SAMPLE).drop("posid")
 
 
 def _intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +55,7 @@ def barcode_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads per sheet barcode, by their UMI as the index sequence."""
     sheet = table(spark, sf_dir, "sampledata").select(F.upper("index1seq").alias("barcode"))
     reads = table(spark, sf_dir, "buildstdfragments").select("readid", F.col("umi").alias("seq"))
-    return assign_reads(reads, "readid", "seq", sheet, "barcode", 12).groupBy("barcode").agg(F.count("*").alias("n_reads"))
+    return assign_reads(reads, "readid", "seq", sheet, "barcode").groupBy("barcode").agg(F.count("*").alias("n_reads"))
 
 
 def unique_multi_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +77,9 @@ def multihit_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     """§2.13 g: networks of reads with several positions, per sample: component label, reads, positions and reads' sum."""
     rows = _fragments(spark, sf_dir)
     multi = rows.join(position_counts(rows, "readid", "posid").where("n_positions > 1"), "readid", "left_semi").select(*SCOPE, "readid", "posid", "nreads").where("posid is not null")
-    scope = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in SCOPE])
-    edges = multi.select(F.concat_ws("\t", scope, F.lit("pos"), "posid").alias("u"), F.concat_ws("\t", scope, F.lit("read"), "readid").alias("v"))
-    labels = connected_components(edges, Workspace(spark, "multihit"))
-    named = multi.withColumn("id", F.concat_ws("\t", scope, F.lit("pos"), "posid")).join(labels, "id")
+    vertex = lambda kind, c: F.struct(*[F.xxhash64(F.lit(seed), F.lit(kind), *[F.coalesce(F.col(k), F.lit("\0")) for k in [*SCOPE, c]]) for seed in (1, 2)])
+    labels = connected_components(multi.select(vertex("pos", "posid").alias("u"), vertex("read", "readid").alias("v")), Workspace(spark, "multihit"))
+    named = multi.withColumn("id", vertex("pos", "posid")).join(labels, "id")
     per = named.groupBy(*SCOPE, "root").agg(F.min("readid").alias("cluster"), F.count_distinct("readid").alias("n_reads"), F.count_distinct("posid").alias("n_positions"), F.sum("nreads").alias("reads"))
     return per.drop("root")
 
@@ -96,7 +94,7 @@ def multihit_cluster_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def anchor_competition_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _fragments(spark, sf_dir).withColumn("anchor", F.substring("repleaderseq", 1, 30)).where("anchor is not null and posid is not null")
+    rows = _fragments(spark, sf_dir).withColumn("anchor", F.col("repleaderseq")).where("anchor is not null and posid is not null")
     return anchor_competition(rows, ["sample", "anchor"], ["trial", "subject", "refgenome", "mode", "posid"], "fragstart", "fragend", 2, 3)
 
 
@@ -113,7 +111,8 @@ def site_rollup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def site_rollup_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replicate_columns(_sites(spark, sf_dir), SITE, "replicate", [1, 2, 3, 4], "width", "nreads")
+    sites = _sites(spark, sf_dir)
+    return replicate_columns(sites, SITE, "replicate", replicate_range(sites, "replicate"), "width", "nreads")
 
 
 def consensus_leaders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,37 +125,38 @@ def metadata_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def orientation_correct(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position ids shifted by the overhang and turned by mode."""
-    at = posid_parts(canonical_posid(F.col("posid")))
-    rows = _fragments(spark, sf_dir).select("mode", at[0].alias("chrom"), at[1].alias("strand"), at[2].alias("pos")).where("mode in ('U3', 'U5') and pos is not null")
+    rows = with_positions(_fragments(spark, sf_dir).where("mode in ('U3', 'U5')"), "posid", "mode")
     new = posid(F.col("chrom"), oriented_strand(F.col("mode"), F.col("strand")), shifted_position(F.col("strand"), F.col("pos")))
     return rows.groupBy("mode", new.alias("posid")).agg(F.count("*").alias("n"))
 
 
 def _ends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    at = posid_parts(canonical_posid(F.col("posid")))
-    return _fragments(spark, sf_dir).select("subject", "refgenome", at[0].alias("chrom"), at[1].alias("strand"), at[2].alias("pos"), "mode", F.col("repleaderseq").alias("leader"), F.col("nreads").alias("reads"), "replicate", "width").where("mode in ('U3', 'U5') and pos is not null")
+    rows = _fragments(spark, sf_dir).where("mode in ('U3', 'U5')")
+    return with_positions(rows, "posid", "subject", "refgenome", "mode", F.col("repleaderseq").alias("leader"), F.col("nreads").alias("reads"), "replicate", "width").drop("posid")
 
 
 def dual_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reciprocal one-to-one pairs of U5 and U3 positions within 5,000 bases on opposite strands."""
-    rows = _ends(spark, sf_dir)
+    work = Workspace(spark, "pairs")
+    rows = work.write(_ends(spark, sf_dir).select("chrom", "strand", "pos", "mode").distinct(), "ends")
     u5 = rows.where("mode = 'U5'").select("chrom", F.when(F.col("strand") == "+", "-").otherwise("+").alias("strand"), F.col("pos").alias("u5_pos")).distinct()
     u3 = rows.where("mode = 'U3'").select("chrom", "strand", F.col("pos").alias("u3_pos")).distinct()
-    return reciprocal_pairs(u5, u3, ["chrom", "strand"], "u5_pos", "u3_pos", 5000)
+    return reciprocal_pairs(u5, u3, ["chrom", "strand"], "u5_pos", "u3_pos", 5000, work)
 
 
 def dual_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dual_detections(_ends(spark, sf_dir), ["refgenome"], 2000)
+    return dual_detections(_ends(spark, sf_dir), ["refgenome"], 2000, work=Workspace(spark, "dual"))
 
 
 def nearest_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nearest_join(_positions(spark, sf_dir), _intervals(spark, sf_dir).select("chrom", "start", "end").distinct(), ["chrom"], "pos", "start", "end")
+    return nearest_join(_positions(spark, sf_dir), _intervals(spark, sf_dir).select("chrom", "start", "end").distinct(), ["chrom"], "pos", "start", "end", work=Workspace(spark, "nearest"))
 
 
 def nearest_genes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J8, J9, J11 with the fragments as genes and those over 300 bases as exons."""
-    genes = _intervals(spark, sf_dir)
-    return annotate_nearest(_positions(spark, sf_dir), genes, genes.where("end - start > 300"), ["chrom"])
+    work = Workspace(spark, "genes")
+    genes = work.write(_intervals(spark, sf_dir), "genes")
+    return annotate_nearest(_positions(spark, sf_dir), genes, genes.where("end - start > 300"), ["chrom"], work)
 
 
 def interval_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,8 +233,7 @@ def scope_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 def truth_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For each known position the closest site of the fragments within 5 bases, then the one with most reads."""
     truth = _positions(spark, sf_dir).groupBy("chrom", "strand", F.col("pos").alias("true_pos")).agg(F.count("*").alias("n_rows"))
-    at = posid_parts(canonical_posid(F.col("posid")))
-    seen = _fragments(spark, sf_dir).select(at[0].alias("chrom"), at[1].alias("strand"), at[2].alias("site_pos"), "nreads").where("site_pos is not null").groupBy("chrom", "strand", "site_pos").agg(F.sum("nreads").alias("site_reads"))
+    seen = with_positions(_fragments(spark, sf_dir), "posid", "nreads").groupBy("chrom", "strand", F.col("pos").alias("site_pos")).agg(F.sum("nreads").alias("site_reads"))
     near = band_join(truth, seen, ["chrom", "strand"], "true_pos", "site_pos", 5)
     best = near.groupBy("chrom", "strand", "true_pos").agg(F.min(F.struct(F.abs(F.col("true_pos") - F.col("site_pos")).alias("d"), (-F.col("site_reads")).alias("r"), "site_pos")).alias("b"))
     rows = truth.join(best, ["chrom", "strand", "true_pos"], "left")

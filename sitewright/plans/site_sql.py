@@ -63,7 +63,7 @@ SQL = {
   n AS (SELECT {_SCOPE}, cluster, count(posid) AS n_positions, string_agg(concat_ws(':', posid, lengths, reads), ',' ORDER BY concat_ws(':', posid, lengths, reads)) AS nodes FROM p GROUP BY ALL),
   s AS (SELECT {_SCOPE}, cluster, count(DISTINCT readid) AS n_reads, count(DISTINCT umi) AS n_umis, CAST(sum(nreads) AS BIGINT) AS reads FROM clustered GROUP BY ALL)
   SELECT * FROM s JOIN n USING ({_SCOPE}, cluster)""",
-    "anchor_competition": f"""WITH r AS (SELECT sample, substr(repleaderseq, 1, 30) AS anchor, trial, subject, refgenome, mode, posid, count(DISTINCT (fragstart, fragend)) AS frags, count(*) AS reads
+    "anchor_competition": f"""WITH r AS (SELECT sample, repleaderseq AS anchor, trial, subject, refgenome, mode, posid, count(DISTINCT (fragstart, fragend)) AS frags, count(*) AS reads
     FROM buildstdfragments WHERE repleaderseq IS NOT NULL AND posid IS NOT NULL GROUP BY ALL),
   k AS (SELECT *, row_number() OVER (PARTITION BY sample, anchor ORDER BY frags DESC, reads DESC, trial, subject, refgenome, mode, posid) AS f,
     row_number() OVER (PARTITION BY sample, anchor ORDER BY reads DESC, frags DESC, trial, subject, refgenome, mode, posid) AS g FROM r),
@@ -112,7 +112,7 @@ SQL = {
     "sequence_consensus": f"""WITH s AS (SELECT upper({_strip("leaderseq")}) AS seq FROM known_sites WHERE leaderseq IS NOT NULL),
   n AS (SELECT seq, row_number() OVER (ORDER BY substr(seq, 1, 20), seq) AS rn, count(*) OVER () AS t FROM s WHERE length(seq) > 0),
   b AS (SELECT seq, CAST((rn * 50 + t - 1) // t AS INTEGER) AS bin FROM n),
-  l AS (SELECT bin, i AS position, substr(seq, i, 1) AS base, count(*) AS k FROM b, (SELECT unnest(range(1, 61)) AS i) WHERE i <= length(seq) GROUP BY ALL),
+  l AS (SELECT bin, i AS position, substr(seq, i, 1) AS base, count(*) AS k FROM b, (SELECT unnest(range(1, (SELECT max(length(seq)) + 1 FROM s))) AS i) WHERE i <= length(seq) GROUP BY ALL),
   t AS (SELECT bin, position, sum(k) AS total FROM l GROUP BY ALL),
   w AS (SELECT * FROM l WHERE base IN ('A', 'C', 'G', 'T') QUALIFY row_number() OVER (PARTITION BY bin, position ORDER BY k DESC, base) = 1)
   SELECT t.bin, t.position, w.base, round(w.k / t.total::DOUBLE, 6) AS agreement FROM t LEFT JOIN w ON t.bin = w.bin AND t.position = w.position""",

@@ -42,8 +42,7 @@ def demultiplex(reads: DataFrame, sheet: DataFrame, options: DemultiplexOptions
     longest = sheet.agg((F.max(F.length("adriftreadlinkerseq")) + 1).alias("least"))
     rows = rows.join(F.broadcast(longest)).where((F.length("r1") >= F.col("least")) & (F.length("r2") >= F.col("least"))).drop("least")
     barcodes = sheet.withColumn("barcode", F.upper("index1seq")).withColumn("linker", F.upper("adriftreadlinkerseq"))
-    size = barcodes.agg(F.max(F.length("barcode"))).first()[0] or 0
-    pairs = match_barcodes(rows, "i1", barcodes, "barcode", size, o.index_mismatches).select("i1", "barcode")
+    pairs = match_barcodes(rows, "i1", barcodes, "barcode", o.index_mismatches).select("i1", "barcode")
     linker = lambda k: F.regexp_extract("linker", r"^([ACGT]+)(N+)([ACGT]+)$", k)
     fits = rows.join(pairs, "i1").join(barcodes, "barcode")
     left, umi, right = F.length(linker(1)), F.length(linker(2)), F.length(linker(3))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,9 +16,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: spark.checkpoint.dir of the session.
 
-    Only where the session names none (tests, local mode) a temporary folder is used.
+    Only in local mode, where the session may name none, a temporary folder is used.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not configured:
         configured = getattr(spark, "_sitewright_scratch", None)
         if configured is None:
@@ -42,6 +45,11 @@ class Workspace:
         df.write.mode(mode).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    @classmethod
+    def settle(cls, df: DataFrame, work: Workspace | None, name: str) -> DataFrame:
+        """df read back from a table of work, so that what uses it several times computes it once; df itself without work."""
+        return df if work is None else work.write(df, name)
+
     def _file_system(self, name: str):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path

@@ -18,8 +18,8 @@ def test_barcodes(spark):
     sheet = spark.createDataFrame([(c,) for c in codes], "b string")
     for most in (0, 1, 2):
         want = {(s, c, d) for s in set(seqs) if s and len(s) == 12 for c in codes for d in [sum(x != y for x, y in zip(s, c))] if d <= most}
-        assert {tuple(r) for r in sq.match_barcodes(reads, "s", sheet, "b", 12, most).collect()} == want
-    got = {r.id: r.b for r in sq.assign_reads(reads, "id", "s", sheet, "b", 12).collect()}
+        assert {tuple(r) for r in sq.match_barcodes(reads, "s", sheet, "b", most).collect()} == want
+    got = {r.id: r.b for r in sq.assign_reads(reads, "id", "s", sheet, "b").collect()}
     assert got == {i: m[0] for i, s in enumerate(seqs) if s and len(s) == 12 for m in [[c for c in codes if sum(x != y for x, y in zip(s, c)) <= 1]] if len(m) == 1}
 
 
@@ -134,3 +134,31 @@ def test_consensus_covers_whole_sequences(spark, sf):
     assert got.keys() == want.keys() and max(p for _, p in got) == max(map(len, seqs)) > 60
     for k, best in want.items():
         assert got[k] == ((chr(-best[1]), round(best[0] / sum(votes[k].values()), 6)) if best else (None, None))
+
+
+@pytest.mark.parametrize("overhang", [False, True])
+def test_patterns_anywhere(spark, overhang):
+    rng = random.Random(5)
+    reads = ["".join(rng.choice("AC") for _ in range(rng.randrange(0, 14))) for _ in range(60)]
+    patterns = ["ACCA", "AACCAAC", "CCC"]
+    want = set()
+    for most in (0, 1):
+        want = set()
+        for r in set(reads):
+            for p in patterns:
+                pad = most if overhang else 0
+                t = "." * pad + r + "." * pad
+                for at in range(len(t) - len(p) + 1):
+                    n = sum(x != y for x, y in zip(t[at:], p))
+                    if n <= most:
+                        want.add((r, p, at + 1 - pad, n))
+                        break
+        df = spark.createDataFrame([(r,) for r in reads] + [(None,)], "s string")
+        got = sq.match_anywhere(df, "s", spark.createDataFrame([(p,) for p in patterns], "p string"), "p", most, overhang)
+        assert {tuple(r) for r in got.collect()} == want
+
+
+def test_barcodes_of_several_lengths(spark):
+    sheet = spark.createDataFrame([("ACGTA",), ("ACGTACG",), ("A",)], "b string")
+    reads = spark.createDataFrame([(1, "ACGTT"), (2, "ACGTACC"), (3, "ACGTAC"), (4, "C"), (5, None)], "id int, s string")
+    assert {(r.id, r.b) for r in sq.assign_reads(reads, "id", "s", sheet, "b").collect()} == {(1, "ACGTA"), (2, "ACGTACG"), (4, "A")}

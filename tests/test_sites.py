@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from sitewright.functions.genome import posid_parts, psl_percent_identity, psl_score, revcomp
+from sitewright.functions.genome import parsed_position, psl_percent_identity, psl_score, revcomp
 from sitewright.operators.fragments import anchor_competition, build_fragments, dominant_umis, rescue_reads, shortest_fragment
 from sitewright.operators.rangejoin import band_join, nearest_join, overlap_join
 from sitewright.operators.rollup import dominant_class, site_rollup, whole_percentages
@@ -100,5 +100,5 @@ def test_shortest_and_percentages(spark):
 
 
 def test_scalars(spark):
-    r = spark.createDataFrame([("ACGTN", "chr1-42")], "s string, p string").select(revcomp(F.col("s")).alias("rc"), *[c.alias(n) for c, n in zip(posid_parts(F.col("p")), "csp")], psl_score(F.lit(30), F.lit(2), F.lit(5), F.lit(1), F.lit(0)).alias("score"), psl_percent_identity(F.lit(90), F.lit(5), F.lit(0), F.lit(1), F.lit(97), F.lit(95)).alias("pid")).first()
+    r = spark.createDataFrame([("ACGTN", "chr1-42")], "s string, p string").select(revcomp(F.col("s")).alias("rc"), *[parsed_position(F.col("p"))[n] for n in ("chrom", "strand", "pos")], psl_score(F.lit(30), F.lit(2), F.lit(5), F.lit(1), F.lit(0)).alias("score"), psl_percent_identity(F.lit(90), F.lit(5), F.lit(0), F.lit(1), F.lit(97), F.lit(95)).alias("pid")).first()
     assert tuple(r) == ("NACGT", "chr1", "-", 42, 29, 90.6)

@@ -34,9 +34,10 @@ class Workspace:
     Unlike localCheckpoint the files survive the loss of any executor.
     """
 
-    def __init__(self, spark: SparkSession, label: str):
+    def __init__(self, spark: SparkSession, label: str, root: str | None = None):
+        """A new folder, or the one at root, which may hold tables already."""
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/sitewright-{label}-{uuid.uuid4().hex[:12]}"
+        self.root = root or f"{shared_dir(spark)}/sitewright-{label}-{uuid.uuid4().hex[:12]}"
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -59,7 +60,23 @@ class Workspace:
         fs, path = self._file_system(name)
         fs.delete(path, True)
 
-    def size(self, name: str) -> int:
-        """Bytes of a table, by the file system."""
-        fs, path = self._file_system(name)
-        return fs.getContentSummary(path).getLength()
+    def write_text(self, name: str, text: str) -> None:
+        """A small file, replaced as a whole."""
+        fs, path = self._file_system(name + ".new")
+        out = fs.create(path, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        final = self._file_system(name)[1]
+        fs.delete(final, False)
+        fs.rename(path, final)
+
+    def read_text(self, name: str) -> str | None:
+        """A small file, or None; one whose replacement was cut short is found under its new name."""
+        for candidate in (name, name + ".new"):
+            fs, path = self._file_system(candidate)
+            if fs.exists(path):
+                stream = fs.open(path)
+                text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+                stream.close()
+                return text
+        return None

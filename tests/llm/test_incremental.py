@@ -1,7 +1,7 @@
 import random
 import re
 
-from sitewright.llm.incremental import block_hashes, deduplicate
+from sitewright.llm.incremental import BatchDeduplicator, block_hashes, deduplicate, keyed_records, least_score
 from sitewright.session import Workspace, table
 
 SCHEMA = "sample_id long, batch int, trial string, subject string, sample string, replicate int, text string, key long"
@@ -101,3 +101,59 @@ def test_accepted_between_copies(spark):
     assert got == brute(rows) == {(50, 1), (50, 3), (2, 3), (4, 5)}
     clusters = {r.sample_id: r.cluster_id for r in state.representatives.collect()}
     assert len({clusters[x] for x in (50, 1, 2, 3)}) == 1 and clusters[4] != clusters[2]
+
+
+def unions(rows, links):
+    """Least accepted record of each cluster, by following links one by one."""
+    root = {r[0]: r[0] for r in rows if None not in r[2:6]}
+    find = lambda x: x if root[x] == x else find(root[x])
+    for a, s in sorted(links):
+        x, y = find(a), find(s)
+        root[max(x, y)] = min(x, y)
+    groups = {}
+    for x in root:
+        groups.setdefault(find(x), set()).add(x)
+    return set(map(frozenset, groups.values()))
+
+
+def test_reopened_between_batches(spark):
+    rng = random.Random(5)
+    names = ["".join(rng.choice("AB") for _ in range(20)) for _ in range(12)]
+    rows = [(i, 0, "t", "s", n, 1) for i, n in enumerate(names)]
+    for b in (1, 2, 3):
+        for _ in range(15):
+            x = list(rng.choice(rows)[4])
+            for _ in range(rng.randrange(1, 4)):
+                x[rng.randrange(len(x))] = rng.choice("ABC")
+            rows.append((len(rows), b, "t", "s", "".join(x), 1))
+    records = keyed_records(spark.createDataFrame([(*r, "t", 1) for r in rows], SCHEMA))
+    work = Workspace(spark, "t")
+    BatchDeduplicator(spark, work).accept_history(records.where("batch = 0"))
+    for b in (1, 2, 3):
+        state = BatchDeduplicator.open(spark, work.root)
+        state.accept(records.where(f"batch = {b}"), b)
+    links = {tuple(r)[:2] for r in state.links.collect()}
+    assert links == brute(rows)
+    groups = {}
+    for r in BatchDeduplicator.open(spark, work.root).representatives.collect():
+        groups.setdefault(r.cluster_id, set()).add(r.sample_id)
+    assert set(map(frozenset, groups.values())) == unions(rows, links)
+
+
+def test_long_chain_in_few_rounds(spark):
+    text = lambda i: "".join("B" if j < 2 * i else "A" for j in range(130))
+    rows = [(0, 0, "t", "s", "zzzzzzzzzzzzzzzzzzzzzzz", 1)] + [(1 + i, 1, "t", "s", text(i), 1) for i in range(64)]
+    got, state = run(spark, rows)
+    assert got == brute(rows) and len(got) > 30
+    folder = state.work._file_system("batch-1")
+    assert sum(f.getPath().getName().startswith("edges-") for f in folder[0].listStatus(folder[1])) <= 9
+
+
+def test_separators_in_fields(spark):
+    rows = [(0, 0, "ab|cd", "subject", "sample", 1), (1, 0, "ef", "subject number", "sample", 1), (2, 1, "abcd", "subject", "sample", 1), (3, 1, "ef|", "subject number", "sample", 1), (4, 1, "efs", "ubject number", "sample", 1), (5, 1, "efsu", "bject number", "sample", 1), (6, 2, "e", "fsubject number", "sample", 1)]
+    assert run(spark, rows)[0] == brute(rows)
+
+
+def test_least_score():
+    w = [-4.0, -1.0, -2.0, 2.0]
+    assert abs(least_score(w) - 1 / (1 + 2.718281828 ** -(2 - 8 / 3))) < 1e-6

@@ -246,7 +246,7 @@ class BatchDeduplicator:
         every round; every round decides at least the first open text.
         """
         no = F.lit(None).cast("boolean")
-        edges = self.work.write(pairs.select(F.col("sample_id").alias("x"), F.col("accepted_id").alias("r"), F.lit(False).alias("flip"), no.alias("taken")).distinct(), f"{tag}/edges-0")
+        edges = pairs.select(F.col("sample_id").alias("x"), F.col("accepted_id").alias("r"), F.lit(False).alias("flip"), no.alias("taken"))
 
         def state_of(edges: DataFrame) -> DataFrame:
             """x, accepted (null: open) and, of an open one with a single open edge, that edge."""
@@ -265,8 +265,9 @@ class BatchDeduplicator:
             decided.append(now.where("accepted is not null"))
             step += 1
             count = Observation()
-            edges = self.work.write(following.distinct().observe(count, F.count(F.lit(1)).alias("n")), f"{tag}/edges-{step}")
+            edges = self.work.write(following.distinct().observe(count, F.count_if(F.col("taken").isNull()).alias("n")), f"{tag}/edges-{step}")
             if not count.get["n"]:
+                decided.append(state_of(edges))
                 break
         return reduce(DataFrame.union, decided).where("not accepted").select(F.col("x").alias("sample_id"))
 
@@ -278,9 +279,9 @@ class BatchDeduplicator:
         every later copy repeats it, or repeats what the first repeats and whatever like it was accepted in between.
         """
         work, tag = self.work, f"batch-{number}"
-        first = batch.groupBy("replicate", "text").agg(F.min("sample_id").alias("sample_id"))
-        size = Observation()
-        texts = work.write(with_keys(first, self.frequent).observe(size, F.sum(F.size("keys")).alias("n")), f"{tag}/texts")
+        first = batch.groupBy("replicate", "text").agg(F.min("sample_id").alias("sample_id"), F.count("*").alias("n"))
+        size, records, rows = Observation(), Observation(), Observation()
+        texts = work.write(with_keys(first.observe(records, F.sum("n").alias("n")), self.frequent).observe(size, F.sum(F.size("keys")).alias("n")), f"{tag}/texts")
         probe = texts.select(F.explode("keys").alias("key"), "sample_id")
         if (size.get["n"] or 0) <= BROADCAST_ROWS:
             probe = F.broadcast(probe)
@@ -311,8 +312,9 @@ class BatchDeduplicator:
         later = F.col("sample_id") > F.col("first_id")
         decided = copies.join(found, F.expr("first_id = near_id and (not back or accepted_id < sample_id)"), "left").select("sample_id", F.coalesce("accepted_id", F.when(later, F.col("first_id"))).alias("accepted_id"), F.coalesce("score", F.when(later, 1.0)).alias("score"))
         work.write(texts.join(lost, "sample_id", "left_anti"), f"texts/{number}")
-        decisions = work.write(decided, f"decisions/{number}")
-        self._join_clusters(decisions, number)
+        decisions = work.write(decided.observe(rows, F.count(F.lit(1)).alias("n")), f"decisions/{number}")
+        if rows.get["n"] > (records.get["n"] or 0):  # some record has several rows
+            self._join_clusters(decisions, number)
         self._commit(str(number))
 
     def _join_clusters(self, decisions: DataFrame, number: int) -> None:

@@ -14,6 +14,7 @@ is left of them after up to two deletions. No pair within two edits is lost, and
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Iterator
 from functools import reduce
@@ -199,6 +200,9 @@ class BatchDeduplicator:
     def _commit(self, batch: str) -> None:
         self.batches.append(batch)
         self.work.write_text("state.json", json.dumps({"batches": self.batches, "merged": self.merged, "weights": self.weights}))
+        # Spark removes the broadcasts and shuffle files of a batch only when the driver collects their handles
+        gc.collect()
+        self.spark._jvm.System.gc()
 
     def _table(self, name: str, schema: str, batches: list[str]) -> DataFrame:
         paths = [self.work.path(f"{name}/{b}") for b in batches]
@@ -258,8 +262,8 @@ class BatchDeduplicator:
         while True:
             now = state_of(edges)
             known = reduce(DataFrame.union, [*decided, now]).select(F.col("x").alias("r"), "accepted", "one", F.lit(True).alias("there"))
-            open_edges = edges.where("taken is null").join(now.where("accepted is null").select("x"), "x", "left_semi").select("x", "r", "flip")
-            seen = open_edges.join(known, "r", "left")
+            open_edges = edges.where("taken is null").join(now.where("accepted is null").select("x"), "x", "left_semi").select("x", "r", "flip") if decided else edges
+            seen = open_edges.select("x", "r", "flip").join(known, "r", "left")
             jump = F.col("accepted").isNull() & F.col("one").isNotNull()
             following = seen.select("x", F.when(jump, F.col("one.r")).otherwise(F.col("r")).alias("r"), F.when(jump, F.col("one.flip") == F.col("flip")).otherwise(F.col("flip")).alias("flip"), F.when(F.col("there").isNull(), True).otherwise(F.col("accepted")).alias("taken"))
             decided.append(now.where("accepted is not null"))

@@ -112,7 +112,10 @@ _SCHEMA = "id long, template long, verbatim long, slots array<string>"
 def template_windows(texts: DataFrame, id_column: str, names: frozenset[str], wanted: np.ndarray | None = None, known: frozenset[str] | None = None) -> DataFrame:
     """The windows of all texts, or of those whose template hash is in wanted; known as in foreign_names."""
 
+    shipped = texts.sparkSession.sparkContext.broadcast((wanted, known, names))  # at most SHIPPED_WINDOWS, and words of the items
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted, known, names = shipped.value
         for b in batches:
             ids, rows = b.column("id").to_pylist(), b.column("text").to_pylist()
             for s in range(0, len(rows), 512):

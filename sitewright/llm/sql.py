@@ -26,7 +26,20 @@ _PREFIXES = f"""SELECT d.doc_id, v.whole_id FROM ({_TEXT}) d JOIN (
     SELECT t, lead(t) OVER o AS u, lead(value_id) OVER o AS whole_id FROM (SELECT t, min(doc_id) AS value_id FROM ({_TEXT}) WHERE t <> '' GROUP BY 1) WINDOW o AS (ORDER BY t)) v
   ON d.t = v.t WHERE starts_with(v.u, v.t)"""
 
+_KEY = "trial, subject, sample, mode, refgenome"
+_CLUSTERED = rf"""SELECT DISTINCT readid, {_KEY}, regexp_replace(clusterid, '^[{_B}]+|[{_B}]+$', '', 'g') AS cluster FROM buildstdfragments
+    WHERE readid IS NOT NULL AND trial IS NOT NULL AND subject IS NOT NULL AND sample IS NOT NULL AND mode IS NOT NULL AND refgenome IS NOT NULL AND regexp_replace(clusterid, '^[{_B}]+|[{_B}]+$', '', 'g') NOT IN ('', 'NA')"""
+# every match is followed from its least read on; a read's group is the least read that reaches it
+_GROUPS = f"""m AS ({_CLUSTERED}), k AS (SELECT *, min(readid) OVER (PARTITION BY {_KEY}, cluster) AS head FROM m),
+  e AS (SELECT DISTINCT readid AS u, head AS v FROM k WHERE readid <> head UNION SELECT DISTINCT head, readid FROM k WHERE readid <> head),
+  reach AS (SELECT u AS readid, u AS groupid FROM e UNION SELECT e.v, reach.groupid FROM reach JOIN e ON e.u = reach.readid),
+  g AS (SELECT readid, min(groupid) AS groupid FROM reach GROUP BY 1)"""
+
 SQL = {
+    "p2_found": f"WITH RECURSIVE {_GROUPS} SELECT * FROM g",
+    "p2_cluster_counts": f"""WITH RECURSIVE {_GROUPS}, t AS (SELECT {_KEY}, count(DISTINCT groupid) AS n FROM m JOIN g USING (readid) GROUP BY ALL),
+  r AS (SELECT trial, subject, sample, mode, ref_genome AS refgenome, max(total_clusters) AS total_clusters FROM multihit_clusters GROUP BY ALL)
+  SELECT {_KEY}, coalesce(n, 0) AS n_groups, total_clusters FROM r LEFT JOIN t USING ({_KEY})""",
     "p7_found": f"SELECT DISTINCT doc_id, item_id FROM ({_runs('doc_id', 'documents')}) JOIN ({_runs('item_id', 'eval_items')}) USING (run)",
     "p8_found": _FOUND,
     "p8_prefixes": _PREFIXES,

@@ -55,7 +55,15 @@ _ROWS = f"""SELECT b.line_id, b.sound, len(b.cells) = len(h.names) AS fits, b.ce
     b.cells[list_position(h.names, 'adriftreadlinkerseq')] AS a, b.cells[list_position(h.names, 'replicate')] AS r
   FROM ({_CELLS}) b LEFT JOIN (SELECT sheet, list_transform(cells, lambda c: lower(trim(c))) AS names FROM ({_CELLS}) WHERE line_no = 1) h USING (sheet) WHERE line_no > 1"""
 
+_OPTIONAL = ("trial", "subject", "sample", "index1seq", "adriftreadlinkerseq", "refgenome", "leaderseqhmm", "vectorfastafile", "mode")
+_VALID = r"""sound AND fits AND coalesce(regexp_full_match(i, '(?i)[ACGTN]{12}'), true) AND coalesce(regexp_full_match(a, '(?i)[ACGT]{3,}N{5,}[ACGT]{3,}'), true)
+    AND coalesce(regexp_full_match(r, '[+-]?[0-9]+(\.0+)?') AND coalesce(abs(TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS HUGEINT)) <= 2147483647, false), true)"""
+
 SQL = {
+    "p4_loaded": f"""WITH b AS (SELECT b.line_id, b.sheet, b.line_no, b.sound, len(b.cells) = len(h.names) AS fits, b.cells, h.names, b.cells[list_position(h.names, 'index1seq')] AS i,
+    b.cells[list_position(h.names, 'adriftreadlinkerseq')] AS a, b.cells[list_position(h.names, 'replicate')] AS r
+    FROM ({_CELLS}) b LEFT JOIN (SELECT sheet, list_transform(cells, lambda c: lower(trim(c))) AS names FROM ({_CELLS}) WHERE line_no = 1) h USING (sheet) WHERE line_no > 1)
+  SELECT line_id, sheet, line_no, TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS INTEGER) AS replicate, {", ".join(f"nullif(cells[list_position(names, '{c}')], '') AS {c}" for c in _OPTIONAL)} FROM b WHERE {_VALID}""",
     "p4_found": rf"""WITH r AS ({_ROWS})
   SELECT line_id, 'quotes' AS reason FROM r WHERE NOT sound UNION ALL
   SELECT line_id, 'columns' FROM r WHERE sound AND NOT coalesce(fits, false) UNION ALL

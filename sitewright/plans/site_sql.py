@@ -59,6 +59,14 @@ SQL = {
   SELECT readid, trial, subject, refgenome, mode, min(posid) AS posid FROM m JOIN u USING (trial, subject, refgenome, mode, posid) GROUP BY ALL HAVING count(*) = 1""",
     "fuzzy_break_pick": """SELECT readid, posid, fragstart, fragend FROM (SELECT DISTINCT readid, posid, fragstart, fragend FROM buildstdfragments WHERE posid IS NOT NULL)
   QUALIFY row_number() OVER (PARTITION BY readid, posid ORDER BY fragend - fragstart, fragstart) = 1""",
+    "multihit_components": f"""WITH RECURSIVE {_NPOS}, m AS (SELECT {_SCOPE}, readid, posid, nreads FROM buildstdfragments JOIN npos USING (readid) WHERE n_positions > 1 AND posid IS NOT NULL),
+  d AS (SELECT DISTINCT {_SCOPE}, readid, posid FROM m), k AS (SELECT *, min(readid) OVER (PARTITION BY {_SCOPE}, posid) AS head FROM d),
+  e AS (SELECT {_SCOPE}, readid AS u, head AS v FROM k UNION SELECT {_SCOPE}, head, readid FROM k),
+  reach AS (SELECT DISTINCT {_SCOPE}, readid, readid AS cluster FROM d UNION SELECT {", ".join("e." + c.strip() for c in _SCOPE.split(","))}, e.v, reach.cluster
+    FROM reach JOIN e ON {" AND ".join(f"e.{c.strip()} IS NOT DISTINCT FROM reach.{c.strip()}" for c in _SCOPE.split(","))} AND e.u = reach.readid),
+  g AS (SELECT {_SCOPE}, readid, min(cluster) AS cluster FROM reach GROUP BY ALL)
+  SELECT {", ".join("m." + c.strip() for c in _SCOPE.split(","))}, cluster, count(DISTINCT m.readid) AS n_reads, count(DISTINCT posid) AS n_positions, CAST(sum(nreads) AS BIGINT) AS reads
+  FROM m JOIN g ON {" AND ".join(f"m.{c.strip()} IS NOT DISTINCT FROM g.{c.strip()}" for c in _SCOPE.split(","))} AND m.readid = g.readid GROUP BY ALL""",
     "multihit_cluster_summary": f"""WITH {_CLUSTERED}, p AS (SELECT {_SCOPE}, cluster, posid, count(DISTINCT width) AS lengths, count(DISTINCT readid) AS reads FROM clustered GROUP BY ALL),
   n AS (SELECT {_SCOPE}, cluster, count(posid) AS n_positions, string_agg(concat_ws(':', posid, lengths, reads), ',' ORDER BY concat_ws(':', posid, lengths, reads)) AS nodes FROM p GROUP BY ALL),
   s AS (SELECT {_SCOPE}, cluster, count(DISTINCT readid) AS n_reads, count(DISTINCT umi) AS n_umis, CAST(sum(nreads) AS BIGINT) AS reads FROM clustered GROUP BY ALL)

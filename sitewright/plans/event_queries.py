@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sitewright.functions.genome import psl_percent_identity, psl_score
-from sitewright.operators.fragments import build_fragments, dominant_umis
+from sitewright.operators.fragments import alignment_filter, build_fragments, dominant_umis
 from sitewright.operators.rollup import relative_abundance, site_rollup, whole_percentages
 from sitewright.operators.standardize import local_maxima, standardize_breakpoints, standardize_positions
 from sitewright.session import Workspace, table
@@ -87,9 +87,12 @@ def alignment_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = F.col("l_linenumber")
     rep, ins = (F.col("l_suppkey") % 5).cast("int"), (F.col("l_partkey") % 3).cast("int")
     rows = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", psl_score(q * 3, n, rep, ins, ins).alias("score"), psl_percent_identity(q * 3, n, rep, ins, q * 3 + n, q * 3).alias("percent_id"), (ins <= 1).alias("few_inserts")
-    )
-    return rows.groupBy("l_linenumber", "score", "percent_id").agg(F.count("*").alias("n"), F.count_if((F.col("percent_id") >= 95) & F.col("few_inserts")).alias("n_pass"))
+        "l_orderkey", "l_linenumber", psl_score(q * 3, n, rep, ins, ins).alias("score"), psl_percent_identity(q * 3, n, rep, ins, q * 3 + n, q * 3).alias("percent_id"),
+        F.lit(100.0).alias("coverage"), ins.alias("t_inserts"), ins.alias("q_inserts"), F.lit(0).alias("t_bases"), F.lit(0).alias("q_bases"),
+    )
+    key = ["l_linenumber", "score", "percent_id"]
+    passed = alignment_filter(rows).groupBy(*key).agg(F.count("*").alias("n_pass"))
+    return rows.groupBy(*key).agg(F.count("*").alias("n")).join(passed, key, "left").select(*key, "n", F.coalesce("n_pass", F.lit(0)).alias("n_pass"))
 
 
 def largest_remainder_pct(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,7 @@ from sitewright.operators.rollup import collapse_duplicates, consensus_leader, d
 from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, quality_trim
 from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, shifted_position
 from sitewright.session import Workspace, table
+from sitewright.sources.lake import merge_history, replace_scope
 
 SAMPLE = ["trial", "subject", "sample"]
 SCOPE = [*SAMPLE, "refgenome", "mode"]
@@ -65,7 +66,8 @@ def unique_multi_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def multihit_rescue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rescue_reads(_fragments(spark, sf_dir), "readid", "posid", ["trial", "subject", "refgenome", "mode"])
+    rows = _fragments(spark, sf_dir).withColumn("region", F.concat_ws(":", "fragchromosome", F.floor(F.col("fragstart") / 1_000_000).cast("string")))
+    return rescue_reads(rows, "readid", "region", ["refgenome"])
 
 
 def fuzzy_break_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,8 +219,8 @@ def subject_history_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = [*SAMPLE, "replicate", "ref_genome", "mode"]
     rows = table(spark, sf_dir, "samples").select(*key, "batch", "sample_id").where(" and ".join(f"{c} is not null" for c in key))
     incoming = rows.where("batch > 0").groupBy(*key).agg(F.max("sample_id").alias("sample_id"))
-    archive = rows.where("batch = 0").groupBy(*key).agg(F.max("sample_id").alias("sample_id")).join(incoming, key, "left_anti")
-    return incoming.withColumn("origin", F.lit("incoming")).unionByName(archive.withColumn("origin", F.lit("archive")))
+    archive = rows.where("batch = 0").groupBy(*key).agg(F.max("sample_id").alias("sample_id"))
+    return merge_history(incoming.withColumn("origin", F.lit("incoming")), archive.withColumn("origin", F.lit("archive")), key)
 
 
 def scope_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,8 +228,11 @@ def scope_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "buildstdfragments").select(*SCOPE, "posid", "replicate", "nreads")
     group = [*SAMPLE, "refgenome"]
     processed = rows.where("replicate >= 3").select(*group).distinct()
-    kept = rows.where("replicate < 3").join(processed, group, "left_anti").withColumn("state", F.lit("kept"))
-    return kept.unionByName(rows.where("replicate >= 3 and nreads > 1").withColumn("state", F.lit("new"))).groupBy(*SCOPE, "state").agg(F.count("*").alias("n"), F.sum("nreads").alias("reads"))
+    work = Workspace(spark, "scope")
+    old, new = rows.where("replicate < 3").withColumn("state", F.lit("kept")), rows.where("replicate >= 3 and nreads > 1").withColumn("state", F.lit("new"))
+    old.repartition(*group).write.partitionBy(*group).parquet(work.path("table"))
+    replace_scope(spark, new, processed, work.path("table"), group)
+    return spark.read.schema(old.schema).parquet(work.path("table")).groupBy(*SCOPE, "state").agg(F.count("*").alias("n"), F.sum("nreads").alias("reads"))
 
 
 def truth_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:

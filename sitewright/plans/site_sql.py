@@ -53,10 +53,10 @@ SQL = {
   SELECT barcode, count(*) AS n_reads FROM r GROUP BY 1""",
     "unique_multi_split": f"""WITH {_NPOS} SELECT {_SAMPLE}, count(*) FILTER (WHERE n_positions = 1) AS n_unique, count(*) FILTER (WHERE n_positions > 1) AS n_multi, max(n_positions) AS most_positions
   FROM (SELECT DISTINCT readid, {_SAMPLE} FROM buildstdfragments) JOIN npos USING (readid) GROUP BY ALL""",
-    "multihit_rescue": f"""WITH {_NPOS}, f AS (SELECT * FROM buildstdfragments JOIN npos USING (readid)),
-  u AS (SELECT DISTINCT trial, subject, refgenome, mode, posid FROM f WHERE n_positions = 1),
-  m AS (SELECT DISTINCT readid, trial, subject, refgenome, mode, posid FROM f WHERE n_positions > 1)
-  SELECT readid, trial, subject, refgenome, mode, min(posid) AS posid FROM m JOIN u USING (trial, subject, refgenome, mode, posid) GROUP BY ALL HAVING count(*) = 1""",
+    "multihit_rescue": """WITH b AS (SELECT readid, refgenome, concat_ws(':', fragchromosome, CAST(floor(fragstart / 1000000.0) AS BIGINT)) AS region FROM buildstdfragments),
+  n AS (SELECT readid, count(DISTINCT region) AS n FROM b GROUP BY 1), f AS (SELECT * FROM b JOIN n USING (readid)),
+  u AS (SELECT DISTINCT refgenome, region FROM f WHERE n = 1), m AS (SELECT DISTINCT readid, refgenome, region FROM f WHERE n > 1)
+  SELECT readid, refgenome, min(region) AS region FROM m JOIN u USING (refgenome, region) GROUP BY ALL HAVING count(*) = 1""",
     "fuzzy_break_pick": """SELECT readid, posid, fragstart, fragend FROM (SELECT DISTINCT readid, posid, fragstart, fragend FROM buildstdfragments WHERE posid IS NOT NULL)
   QUALIFY row_number() OVER (PARTITION BY readid, posid ORDER BY fragend - fragstart, fragstart) = 1""",
     "multihit_components": f"""WITH RECURSIVE {_NPOS}, m AS (SELECT {_SCOPE}, readid, posid, nreads FROM buildstdfragments JOIN npos USING (readid) WHERE n_positions > 1 AND posid IS NOT NULL),

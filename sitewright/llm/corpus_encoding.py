@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sitewright.session import Workspace
+
 #: Characters the rolling hash sees, the mean distance of its cuts and the least length of a chunk.
 WINDOW, MEAN, LEAST = 16, 192, 48
 
@@ -135,20 +137,22 @@ def _join_chunks(path: str):
     return run
 
 
-def encode_corpus(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
+def encode_corpus(documents: DataFrame, vocabulary: str | None = None, work: Workspace | None = None) -> DataFrame:
     """doc_id and ids of every document; an empty list for an empty and for a null text.
 
     documents: doc_id (unique) and text; other columns are ignored. Whole texts are encoded, without
     special tokens (their spelling in a text is ordinary text). Chunks are told apart by 128 bits of
     hash. A chunk of many documents is encoded once; in the join back to the documents it is a skewed
-    key of an equi-join, which adaptive execution splits.
+    key of an equi-join, which adaptive execution splits. With a work folder the chunks are cut once and
+    written there; without, they are cut for the list of different ones and again for the join.
     """
     path = vocabulary or default_vocabulary()
     keys = (F.xxhash64("chunk").alias("k1"), F.xxhash64(F.lit(1), "chunk").alias("k2"))
-    cut = documents.where("text <> ''").select("doc_id", "text").mapInPandas(_cut, "doc_id long, place int, chunk string")
-    distinct = cut.select(*keys, "chunk").groupBy("k1", "k2").agg(F.first("chunk").alias("chunk"))
+    cut = documents.where("text <> ''").select("doc_id", "text").mapInPandas(_cut, "doc_id long, place int, chunk string").select("doc_id", "place", *keys, "chunk")
+    cut = Workspace.settle(cut, work, "chunks")
+    distinct = cut.select("k1", "k2", "chunk").groupBy("k1", "k2").agg(F.first("chunk").alias("chunk"))
     encoded = distinct.mapInPandas(_encode_chunks(path), "k1 long, k2 long, head string, body array<int>, tail string")
-    placed = cut.select("doc_id", "place", *keys).join(encoded, ["k1", "k2"])
+    placed = cut.select("doc_id", "place", "k1", "k2").join(encoded, ["k1", "k2"])
     whole = placed.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("place", "head", "body", "tail"))).alias("parts"))
     texts = whole.mapInPandas(_join_chunks(path), "doc_id long, ids array<int>")
     none = documents.where("text is null or text = ''").select("doc_id", F.array().cast("array<int>").alias("ids"))

@@ -57,7 +57,7 @@ def p5_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_corpus(table(spark, sf_dir, "documents"))
+    return encode_corpus(table(spark, sf_dir, "documents"), work=Workspace(spark, "p6"))
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,7 +98,8 @@ def sheet_rows(lines: DataFrame, checks: dict[str, Column]) -> DataFrame:
     A null line, and any line of a sheet without a sound header, cannot be told apart from a wrong
     number of cells: `columns`. A repeated header counts once, the one with the least line_id. An
     empty line is one empty cell. A check over a column that the sheet lacks sees null and passes. The
-    sheet is a hash-join key only; no sheet is gathered in one task.
+    sheet is the key of an equi-join with one header row each, so that adaptive execution may split a crowded
+    one; no sheet is gathered.
     """
     # the lines are split before the kernel, through which Catalyst pushes no filter
     header = (

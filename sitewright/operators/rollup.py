@@ -26,12 +26,26 @@ def modal_value(df: DataFrame, keys: list[str], value: str, name: str) -> DataFr
     return counts.join(best, [*keys, "_n"]).groupBy(*keys).agg(F.min(value).alias(name))
 
 
-def fragment_rollup(df: DataFrame, keys: list[str], reads: str, read: str, leader: str, min_reads: int = 1) -> DataFrame:
-    """Reads, number of records and of distinct reads and the modal leader of every fragment with enough reads."""
-    sums = df.groupBy(*keys).agg(F.sum(reads).alias("reads"), F.count("*").alias("n_records"), F.count_distinct(read).alias("n_distinct_reads")).where(F.col("reads") >= min_reads)
+def fragment_rollup(df: DataFrame, keys: list[str], reads: str, read: str, leader: str, min_reads: int = 1, first: tuple[str, ...] = (), order: str | None = None) -> DataFrame:
+    """Reads, number of records and of distinct reads and the modal leader of every fragment with enough reads.
+
+    first: columns taken from the first row by order. The reads and UMIs themselves are in fragment_members.
+    """
+    rest = [F.min_by(F.struct(*first), order).alias("_first")] if first else []
+    sums = df.groupBy(*keys).agg(F.sum(reads).alias("reads"), F.count("*").alias("n_records"), F.count_distinct(read).alias("n_distinct_reads"), *rest).where(F.col("reads") >= min_reads)
+    sums = sums.select(*keys, "reads", "n_records", "n_distinct_reads", *[F.col(f"_first.{c}").alias(c) for c in first])
     return sums.join(modal_value(df, keys, leader, "rep_leader"), keys, "left")
 
 
+def fragment_members(df: DataFrame, keys: list[str], members: dict[str, str]) -> DataFrame:
+    """What a fragment consists of, one row per kind (read, UMI), fragment and distinct value, with its records.
+
+    members: kind -> column. Rows instead of lists, for one fragment may hold a third of all reads. Nulls are no member.
+    """
+    spread = df.select(*keys, F.inline(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in members.items()])))
+    return spread.where("value is not null").groupBy(*keys, "kind", "value").agg(F.count("*").alias("n_records"))
+
+
 def site_rollup(df: DataFrame, keys: list[str], replicate: str, width: str, reads: str, work: Workspace | None = None) -> DataFrame:
     """Reads, replicates seen, and break lengths distinct per replicate (summed) and over the whole site."""
     per_width = Workspace.settle(df.groupBy(*keys, replicate, width).agg(F.sum(reads).alias("_reads")), work, "widths")
@@ -62,13 +76,19 @@ def replicate_range(df: DataFrame, replicate: str) -> list[int]:
     return list(range(low, high + 1))
 
 
-def replicate_columns(df: DataFrame, keys: list[str], replicate: str, replicates: list[int], width: str, reads: str) -> DataFrame:
-    """rep<N>_reads and rep<N>_sonic_lengths for every replicate in the list (see replicate_range), null where it is missing."""
+def replicate_columns(df: DataFrame, keys: list[str], replicate: str, replicates: list[int], width: str, reads: str, umi: str | None = None, leader: str | None = None) -> DataFrame:
+    """rep<N>_reads and rep<N>_sonic_lengths for every replicate in the list (see replicate_range), null where it is missing.
+
+    With umi and leader also rep<N>_umis (distinct ones) and rep<N>_rep_leader (see consensus_leader).
+    """
     if not replicates:
         return df.select(*keys).distinct()
-    per_rep = df.groupBy(*keys, replicate).agg(F.sum(reads).alias("r"), F.count_distinct(width).alias("s"))
-    wide = per_rep.groupBy(*keys).pivot(replicate, replicates).agg(F.first("r").alias("reads"), F.first("s").alias("sonic_lengths"))
-    return wide.select(*keys, *[F.col(f"`{n}_{c}`").alias(f"rep{n}_{c}") for n in replicates for c in ("reads", "sonic_lengths")])
+    columns = ["reads", "sonic_lengths", *(["umis"] if umi else []), *(["rep_leader"] if leader else [])]
+    per_rep = df.groupBy(*keys, replicate).agg(F.sum(reads).alias("reads"), F.count_distinct(width).alias("sonic_lengths"), *([F.count_distinct(umi).alias("umis")] if umi else []))
+    if leader:
+        per_rep = per_rep.join(consensus_leader(df.where(F.col(leader).isNotNull()), [*keys, replicate], leader, width, reads), [*keys, replicate], "left")
+    wide = per_rep.groupBy(*keys).pivot(replicate, replicates).agg(*[F.first(c).alias(c) for c in columns])
+    return wide.select(*keys, *[F.col(f"`{n}_{c}`").alias(f"rep{n}_{c}") for n in replicates for c in columns])
 
 
 def relative_abundance(sites: DataFrame, group: list[str], amount: str, name: str = "percent_rel_abund") -> DataFrame:

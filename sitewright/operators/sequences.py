@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sitewright.functions.genome import revcomp
 from sitewright.session import Workspace
 
 
@@ -70,6 +71,30 @@ def assign_reads(reads: DataFrame, read: str, seq: str, barcodes: DataFrame, bar
     return once.select(read, barcode)
 
 
+def last_match(seq: Column, pattern: Column, most: int = 1, overhang: bool = True) -> Column:
+    """§2.10: start (from 1) of the last place in seq at which pattern lies with at most `most` substitutions.
+
+    overhang: the pattern may reach over the end of seq, and the letters beyond count as substitutions. Null
+    without such a place, for a null and for an empty pattern.
+    """
+    size = F.length(pattern)
+    text = F.concat(seq, F.repeat(F.lit("\0"), F.lit(most))) if overhang else seq
+    last = F.length(text) - size + 1
+    window = lambda p: F.substring(text, p, size)
+    # for strings of one length a Levenshtein distance up to 1 is the number of substitutions
+    near = lambda p: F.levenshtein(window(p), pattern, most) >= 0 if most <= 1 else mismatches(window(p), pattern) <= most
+    return F.array_max(F.filter(F.when((last >= 1) & (size > 0), F.sequence(F.lit(1), last)), near))
+
+
+def orientation_vote(reads: DataFrame, seq: str, barcodes: DataFrame, barcode: str) -> DataFrame:
+    """One row with how many reads are a barcode as they are, how many reversed, and whether the latter are more."""
+    listed = barcodes.select(F.col(barcode).alias(seq)).distinct()
+    counts = reads.groupBy(seq).agg(F.count("*").alias("n"))
+    hits = lambda c, name: counts.withColumn(seq, c).join(listed, seq, "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
+    both = hits(F.col(seq), "n_forward").join(hits(revcomp(F.col(seq)), "n_reverse"))  # one row each
+    return both.withColumn("reverse", F.col("n_reverse") > F.col("n_forward"))
+
+
 def trim_lengths(quality: pa.Array, least: int = 10, events: int = 2, half_width: int = 3) -> np.ndarray:
     """How many bases each Phred+33 string keeps.
 

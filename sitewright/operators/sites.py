@@ -31,32 +31,57 @@ def reciprocal_pairs(left: DataFrame, right: DataFrame, keys: list[str], left_po
     return pairs.join(one(left_pos), [*keys, left_pos], "left_semi").join(one(right_pos), [*keys, right_pos], "left_semi")
 
 
-def dual_detections(df: DataFrame, scope: list[str], reach: int = 6, distance: int = 2, work: Workspace | None = None) -> DataFrame:
-    """§2.13 k: sites seen from both ends.
+#: The mode of a site that is seen from both ends.
+DUAL = "dual detect"
+
+
+def label_duals(df: DataFrame, scope: list[str], reach: int = 6, distance: int = 2, work: Workspace | None = None) -> DataFrame:
+    """§2.13 k: df with the rows of sites seen from both ends moved to one site; no row is added or lost.
 
-    df: scope columns, chrom, strand, pos, mode (U3 or U5), leader, reads, replicate, width. A U5 and a U3
-    position on opposite strands of a chromosome, at most reach apart and only partners of each other, are
-    one site: at the modal shifted position (ties: the least as a string), on the opposite of the U3
-    strand, with both modal leaders. Columns: scope, chrom, strand, pos, leader, reads, sonic_lengths.
-    With a work folder, the two ends, their pairs and the rows of the pairs are written there once.
+    df: scope columns, chrom, strand, pos, mode, leader and any others. A U5 and a U3 position on opposite
+    strands of a chromosome, at most reach apart and only partners of each other, are one site: at the modal
+    shifted position (ties: the least as a string), on the opposite of the U3 strand, with the modal leaders
+    of U3 and U5 (ties: the least) joined by a slash, of mode DUAL. Rows with a null in scope, chrom, strand
+    or pos stay as they are. With a work folder df and the pairs are written there once.
     """
-    df = Workspace.settle(df.select(*scope, "chrom", "strand", "pos", "mode", "leader", "reads", "replicate", "width"), work, "ends")
+    turned = F.when(F.col("strand") == "+", "-").when(F.col("strand") == "-", "+")
+    sided = Workspace.settle(df.withColumn("u3_strand", F.when(F.col("mode") == "U5", turned).otherwise(F.col("strand"))), work, "ends")
     keys = [*scope, "chrom", "u3_strand"]
-    u3 = df.where(F.col("mode").contains("U3")).withColumn("u3_strand", F.col("strand"))
-    u5 = df.where(F.col("mode").contains("U5")).withColumn("u3_strand", F.when(F.col("strand") == "+", "-").otherwise("+"))
-    pairs = reciprocal_pairs(u5.select(*keys, F.col("pos").alias("u5_pos")).distinct(), u3.select(*keys, F.col("pos").alias("u3_pos")).distinct(), keys, "u5_pos", "u3_pos", reach)
-    pairs = Workspace.settle(pairs, work, "pairs")
-    rows = u5.withColumnRenamed("pos", "u5_pos").join(pairs, [*keys, "u5_pos"]).select(*keys, "u5_pos", "u3_pos", F.col("u5_pos").alias("pos"), "strand", "mode", "leader", "reads", "replicate", "width").unionByName(
-        u3.withColumnRenamed("pos", "u3_pos").join(pairs, [*keys, "u3_pos"]).select(*keys, "u5_pos", "u3_pos", F.col("u3_pos").alias("pos"), "strand", "mode", "leader", "reads", "replicate", "width")
-    )
-    rows = Workspace.settle(rows, work, "rows")
+    side = lambda mode, name: sided.where(F.col("mode") == mode).select(*keys, F.col("pos").alias(name)).distinct()
+    pairs = Workspace.settle(reciprocal_pairs(side("U5", "u5_pos"), side("U3", "u3_pos"), keys, "u5_pos", "u3_pos", reach), work, "pairs")
     pair = [*keys, "u5_pos", "u3_pos"]
-    at = modal_value(rows.withColumn("_at", shifted_position(F.col("strand"), F.col("pos"), distance).cast("string")), pair, "_at", "site_pos")
-    leaders = modal_value(rows, [*pair, "mode"], "leader", "leader").groupBy(*pair).agg(F.max(F.when(F.col("mode").contains("U3"), F.col("leader"))).alias("l3"), F.max(F.when(F.col("mode").contains("U5"), F.col("leader"))).alias("l5"))
-    per_rep = rows.groupBy(*pair, "replicate").agg(F.sum("reads").alias("r"), F.count_distinct("width").alias("w"))
-    sums = per_rep.groupBy(*pair).agg(F.sum("r").alias("reads"), F.sum("w").alias("sonic_lengths"))
-    strand = F.when(F.col("u3_strand") == "+", "-").otherwise("+")
-    return sums.join(at, pair).join(leaders, pair).select(*scope, "chrom", strand.alias("strand"), F.col("site_pos").cast("long").alias("pos"), F.concat_ws("/", "l3", "l5").alias("leader"), "reads", "sonic_lengths")
+    ends = pairs.select(*pair, F.inline(F.array(*[F.struct(F.lit(m).alias("mode"), F.col(c).alias("pos")) for m, c in (("U5", "u5_pos"), ("U3", "u3_pos"))])))
+    rows = sided.join(ends, [*keys, "mode", "pos"]).select(*pair, "mode", "leader", shifted_position(F.col("strand"), F.col("pos"), distance).cast("string").alias("_at"))
+    rows = Workspace.settle(rows, work, "pair-rows")
+    at = modal_value(rows, pair, "_at", "_site_pos")
+    leaders = modal_value(rows, [*pair, "mode"], "leader", "leader").groupBy(*pair).agg(F.max(F.when(F.col("mode") == "U3", F.col("leader"))).alias("_l3"), F.max(F.when(F.col("mode") == "U5", F.col("leader"))).alias("_l5"))
+    labels = ends.join(at, pair).join(leaders, pair, "left").select(*keys, "mode", "pos", "_site_pos", F.concat_ws("/", "_l3", "_l5").alias("_leader"))
+    out = sided.join(labels, [*keys, "mode", "pos"], "left").withColumn("_dual", F.col("_site_pos").isNotNull())
+    opposite = F.when(F.col("u3_strand") == "+", "-").otherwise("+")
+    new = {"mode": F.lit(DUAL), "strand": opposite, "pos": F.col("_site_pos").cast("long"), "leader": F.col("_leader")}
+    return out.select(*[F.when(F.col("_dual"), new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in df.columns])
+
+
+def dual_detections(df: DataFrame, scope: list[str], reach: int = 6, distance: int = 2, work: Workspace | None = None) -> DataFrame:
+    """The sites seen from both ends (see label_duals) with their reads and break lengths, distinct per replicate."""
+    site = [*scope, "chrom", "strand", "pos", "leader"]
+    rows = label_duals(df.select(*scope, "chrom", "strand", "pos", "mode", "leader", "reads", "replicate", "width"), scope, reach, distance, work).where(F.col("mode") == DUAL)
+    per_rep = rows.groupBy(*site, "replicate").agg(F.sum("reads").alias("r"), F.count_distinct("width").alias("w"))
+    return per_rep.groupBy(*site).agg(F.sum("r").alias("reads"), F.sum("w").alias("sonic_lengths"))
+
+
+def orient_sites(df: DataFrame, distance: int = 2) -> DataFrame:
+    """Df (mode, strand, pos) with U5 and U3 rows shifted and U3 rows turned; rows of mode DUAL stay.
+
+    A mode is of an end if it contains its name. Once a row of the input has the mode U5 or U3, rows of any other
+    mode (a null one included) are left out; without such a row nothing changes.
+    """
+    seen = df.agg(F.coalesce(F.bool_or(F.col("mode").isin("U3", "U5")), F.lit(False)).alias("_any"))  # one row
+    ended = F.col("mode").contains("U3") | F.col("mode").contains("U5")
+    rows = df.join(F.broadcast(seen)).where(~F.col("_any") | (F.col("mode") == DUAL) | ended)
+    moved = F.col("_any") & (F.col("mode") != DUAL)
+    new = {"strand": oriented_strand(F.col("mode"), F.col("strand")), "pos": shifted_position(F.col("strand"), F.col("pos"), distance)}
+    return rows.select(*[F.when(moved, new[c]).otherwise(F.col(c)).alias(c) if c in new else c for c in df.columns])
 
 
 def annotate_nearest(sites: DataFrame, genes: DataFrame, exons: DataFrame, keys: list[str], work: Workspace | None = None) -> DataFrame:

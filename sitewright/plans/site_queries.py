@@ -11,7 +11,7 @@ from sitewright.operators.components import connected_components
 from sitewright.operators.fragments import anchor_competition, position_counts, rescue_reads, shortest_fragment
 from sitewright.operators.rangejoin import band_join, fill_down, nearest_edge, nearest_join, overlap_join
 from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, replicate_range, site_rollup, site_umis, weighted_histogram
-from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, quality_trim
+from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, orientation_vote, quality_trim
 from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, shifted_position
 from sitewright.session import Workspace, table
 from sitewright.sources.lake import merge_history, replace_scope
@@ -266,10 +266,8 @@ def catalog_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def index_orientation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many index reads are a barcode as they are, and how many reversed; the greater count decides."""
     sheet = table(spark, sf_dir, "sampledata").select(F.upper("index1seq").alias("seq")).distinct()
-    reads = table(spark, sf_dir, "buildstdfragments").groupBy(F.col("umi").alias("seq")).agg(F.count("*").alias("n"))
-    counts = lambda c, name: reads.withColumn("seq", c).join(sheet, "seq", "left_semi").agg(F.coalesce(F.sum("n"), F.lit(0)).alias(name))
-    both = counts(F.col("seq"), "n_forward").join(counts(revcomp(F.col("seq")), "n_reverse"))  # one row each
-    return both.withColumn("reverse", F.col("n_reverse") > F.col("n_forward"))
+    reads = table(spark, sf_dir, "buildstdfragments").select(F.col("umi").alias("seq"))
+    return orientation_vote(reads, "seq", sheet, "seq")
 
 
 def site_umi_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -71,19 +71,40 @@ def assign_reads(reads: DataFrame, read: str, seq: str, barcodes: DataFrame, bar
     return once.select(read, barcode)
 
 
+def last_starts(seqs: pa.Array, patterns: pa.Array, most: int, overhang: bool) -> np.ndarray:
+    """For each pair of ASCII strings the start (from 1) of the pattern's last place with at most `most` substitutions, 0 for none."""
+    flat = lambda x: pa.concat_arrays([x.fill_null("").cast(pa.large_string()), pa.array([], pa.large_string())])
+    offsets = lambda x: np.frombuffer(x.buffers()[1], np.int64, len(x) + 1)
+    letters = lambda x, n: np.append(np.frombuffer(x.buffers()[2] or b"", np.uint8)[:n], np.uint8(0))
+    seqs, patterns = flat(seqs), flat(patterns)
+    so, po = offsets(seqs), offsets(patterns)
+    text, probe = letters(seqs, so[-1]), letters(patterns, po[-1])
+    size, width = np.diff(so), np.diff(po)
+    places = np.where(width > 0, np.maximum(size + (most if overhang else 0) - width + 1, 0), 0)
+    row = np.repeat(np.arange(len(seqs)), places)
+    place = np.arange(len(row)) - (np.cumsum(places) - places)[row]
+    wrong = np.zeros(len(row), np.int32)
+    for j in range(int(width.max(initial=0))):
+        at = so[row] + place + j
+        same = (at < so[row + 1]) & (text[np.minimum(at, len(text) - 1)] == probe[np.minimum(po[row] + j, len(probe) - 1)])
+        wrong += (j < width[row]) & ~same
+    last = np.zeros(len(seqs), np.int32)
+    np.maximum.at(last, row[wrong <= most], (place[wrong <= most] + 1).astype(np.int32))
+    return last
+
+
 def last_match(seq: Column, pattern: Column, most: int = 1, overhang: bool = True) -> Column:
     """§2.10: start (from 1) of the last place in seq at which pattern lies with at most `most` substitutions.
 
-    overhang: the pattern may reach over the end of seq, and the letters beyond count as substitutions. Null
+    overhang: the pattern may reach over the end of seq, and the letters beyond count as substitutions. 0
     without such a place, for a null and for an empty pattern.
     """
-    size = F.length(pattern)
-    text = F.concat(seq, F.repeat(F.lit("\0"), F.lit(most))) if overhang else seq
-    last = F.length(text) - size + 1
-    window = lambda p: F.substring(text, p, size)
-    # for strings of one length a Levenshtein distance up to 1 is the number of substitutions
-    near = lambda p: F.levenshtein(window(p), pattern, most) >= 0 if most <= 1 else mismatches(window(p), pattern) <= most
-    return F.array_max(F.filter(F.when((last >= 1) & (size > 0), F.sequence(F.lit(1), last)), near))
+
+    @F.pandas_udf("int")
+    def start(s: pd.Series, p: pd.Series) -> pd.Series:
+        return pd.Series(last_starts(pa.array(s, pa.string(), from_pandas=True), pa.array(p, pa.string(), from_pandas=True), most, overhang))
+
+    return start(seq, pattern)
 
 
 def orientation_vote(reads: DataFrame, seq: str, barcodes: DataFrame, barcode: str) -> DataFrame:

@@ -119,12 +119,16 @@ def trim_overread(reads: DataFrame, width: int = 8, rate: float = 0.10, min_leng
     read before that of the reversed leaderseq, but not at the first letter. A linker2 or leaderseq that is
     null or shorter than width is an error.
     """
-    text = f"over-read trimming needs linker2 and leaderseq of at least {width} letters"
-    probe = lambda c: F.when(F.length(c) >= width, F.substring(revcomp(F.col(c)), 1, width)).otherwise(F.raise_error(F.lit(text)))
-    rows = reads
+    short = F.coalesce(F.least(F.length("linker2"), F.length("leaderseq")), F.lit(0)) < width  # least skips nulls
+    short = short | F.col("linker2").isNull() | F.col("leaderseq").isNull()
+    rows = reads.withColumn("_short", short)
     for read, other in (("anchorreadseq", "linker2"), ("adriftreadseq", "leaderseq")):
-        rows = rows.withColumn("_at", last_match(F.col(read), probe(other), math.ceil(width * rate), overhang)).withColumn(read, F.when(F.col("_at") > 1, F.substring(read, F.lit(1), F.col("_at") - 1)).otherwise(F.col(read))).drop("_at")
-    return rows.where((F.length("anchorreadseq") >= min_length) & (F.length("adriftreadseq") >= min_length))
+        at = last_match(F.col(read), F.substring(revcomp(F.col(other)), 1, width), math.ceil(width * rate), overhang)
+        rows = rows.withColumn("_at", at).withColumn(read, F.when(F.col("_at") > 1, F.substring(read, F.lit(1), F.col("_at") - 1)).otherwise(F.col(read))).drop("_at")
+    # the error stands behind the filter, so that no predicate raises it for a row that an earlier filter removes
+    kept = rows.where(F.col("_short") | ((F.length("anchorreadseq") >= min_length) & (F.length("adriftreadseq") >= min_length)))
+    text = f"over-read trimming needs linker2 and leaderseq of at least {width} letters"
+    return kept.withColumn("anchorreadseq", F.when(F.col("_short"), F.raise_error(F.lit(text))).otherwise(F.col("anchorreadseq"))).drop("_short")
 
 
 def vector_filter(reads: DataFrame, hits: DataFrame, width: int = 25, min_identity: float = 90, min_coverage: float = 90) -> tuple[DataFrame, DataFrame]:

@@ -89,6 +89,38 @@ def update_counts(catalog: DataFrame, counts: DataFrame, key: list[str]) -> Data
     return joined.select(*key, value.alias("demultiplexed_reads"))
 
 
+def missing_updates(expected: DataFrame, updated: DataFrame, key: list[str]) -> DataFrame:
+    """Keys that should have got an update and did not."""
+    return expected.select(*key).distinct().join(updated.select(*key).distinct(), key, "left_anti")
+
+
+#: Names among which suggestions are looked for at most (files of a folder, genomes, trials); more are an error.
+MOST_NAMES = 10_000
+
+
+def nearest_names(values: DataFrame, value: str, names: DataFrame, name: str, k: int = 3) -> DataFrame:
+    """Every distinct value that is no name, with the k names of least edit distance, equal ones by name.
+
+    names is a list of at most MOST_NAMES, which goes to every task; a null is neither value nor name. Columns: value,
+    rank from 1, name, distance.
+    """
+    listed = names.select(name).where(F.col(name).isNotNull()).distinct().agg(F.sort_array(F.collect_set(name)).alias("_names"))
+    checked = F.when(F.size("_names") <= MOST_NAMES, F.col("_names")).otherwise(F.raise_error(F.lit(f"more than {MOST_NAMES} names")).cast("array<string>"))
+    rows = values.select(value).where(F.col(value).isNotNull()).distinct().join(F.broadcast(listed.select(checked.alias("_names"))))  # one row
+    order = F.slice(F.array_sort(F.transform("_names", lambda n: F.struct(F.levenshtein(F.col(value), n).alias("distance"), n.alias("name")))), 1, k)
+    near = rows.where(~F.array_contains("_names", F.col(value))).select(value, F.posexplode(order).alias("rank", "_n"))
+    return near.select(value, (F.col("rank") + 1).alias("rank"), F.col("_n.name").alias("name"), F.col("_n.distance").alias("distance"))
+
+
+def merge_heads(records: list[dict]) -> list[str]:
+    """The ids of the manifests that an output comes from, in order of first appearance; two records of one id must be equal."""
+    seen: dict[str, dict] = {}
+    for record in records:
+        if seen.setdefault(record["id"], record) != record:
+            raise ValueError(f"two different records {record['id']}")
+    return list(seen)
+
+
 def pull_records(catalog: DataFrame, **wanted: list[str]) -> DataFrame:
     """catalog rows whose columns are among the values asked for; a column without values is not restricted."""
     for column, values in wanted.items():

@@ -152,18 +152,20 @@ def attach_alignments(reads: DataFrame, alignments: DataFrame, genome: str, seq:
     return reads.join(alignments, [genome, seq])
 
 
-def build_sites(fragments: DataFrame, work: Workspace, reach: int = 6, distance: int = 2) -> DataFrame:
+def build_sites(fragments: DataFrame, work: Workspace, reach: int = 6, distance: int = 2, duals: bool = True, orient: bool = True) -> DataFrame:
     """Standardized fragments to sites: dual detection, orientation, roll-up, leaders, abundance (§2.13 k, P4, P5, A8-A12).
 
     fragments: trial, subject, sample, refgenome, mode, leaderseqhmm, vectorfastafile, chrom, strand, pos, replicate,
     width, reads, umi, leader. One row per sample, genome, mode and position with distinct UMIs (null in all
     columns if the input has no real one), break lengths summed over replicates and over the sample, reads, leader,
     replicates seen (null for dual detections), relative abundance in the sample and the columns of every replicate.
+    Rows with a null among scope, mode, chrom, strand or pos belong to no site.
     """
     scope = ["trial", "subject", "sample", "refgenome"]
-    rows = orient_sites(label_duals(fragments, scope, reach, distance, work), distance)
-    rows = work.write(rows.withColumn("posid", posid(F.col("chrom"), F.col("strand"), F.col("pos"))), "fragments")
+    rows = label_duals(fragments, scope, reach, distance, work) if duals else fragments
+    rows = orient_sites(rows, distance) if orient else rows
     site = [*scope, "mode", "posid"]
+    rows = work.write(rows.withColumn("posid", posid(F.col("chrom"), F.col("strand"), F.col("pos"))).dropna(subset=site), "fragments")
     sites = site_rollup(rows, site, "replicate", "width", "reads")
     real = rows.agg(F.coalesce(F.bool_or(F.col("umi") != MASKED_UMI), F.lit(False)).alias("_real"))  # one row
     umis = rows.groupBy(*site).agg(F.count_distinct("umi").alias("umis"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sitewright.operators.sequences import GOLAY_PARITY
+
 _SAMPLE = "trial, subject, sample"
 _SCOPE = f"{_SAMPLE}, refgenome, mode"
 
@@ -39,6 +41,9 @@ _ROLLED = f"""pr AS (SELECT {_SITE}, replicate, sum(nreads) AS r, count(DISTINCT
 _NEAR = """dist AS (SELECT chrom, pos, start, "end", greatest(start - pos, pos - "end", 0) AS distance FROM spots JOIN iv USING (chrom)),
   near AS (SELECT * FROM dist QUALIFY distance = min(distance) OVER (PARTITION BY chrom, pos))"""
 
+#: The rows of the code's parity part, the first column as the lowest bit.
+_PARITY = str([sum(int(bit) << i for i, bit in enumerate(row)) for row in GOLAY_PARITY])
+
 SQL = {
     "dup_collapse": "SELECT lang, source, md5(text) AS text_md5, count(*) AS n_reads, min(doc_id) AS first_doc FROM documents GROUP BY 1, 2, 3",
     "id_normalize": f"""WITH x AS (SELECT sample_id, {_norm("trial")} AS trial, {_norm("subject")} AS subject, {_norm("sample")} AS sample FROM samples)
@@ -155,4 +160,14 @@ SQL = {
   SELECT *, n_reverse > n_forward AS reverse FROM x""",
     "site_umi_counts": f"SELECT {_SITE}, CASE WHEN (SELECT bool_or(umi <> 'AAAAAAAAAAAA') FROM buildstdfragments) THEN count(DISTINCT umi) END AS n_umis FROM buildstdfragments WHERE posid IS NOT NULL GROUP BY ALL",
     "header_fill_down": "SELECT line_id, sheet, CAST(last_value(CASE WHEN line_no = 1 THEN line_no END IGNORE NULLS) OVER (PARTITION BY sheet ORDER BY line_no) AS BIGINT) AS header_no FROM sampledata_lines",
+    "golay_decode": f"""WITH b AS (SELECT upper(index1seq) AS barcode, count(*) AS n FROM sampledata GROUP BY 1),
+  v AS (SELECT *, CASE WHEN regexp_full_match(barcode, '[ACGTN]{{12}}') THEN list_sum(list_transform(range(12), lambda k: (CASE substr(barcode, CAST(k AS INTEGER) + 1, 1) WHEN 'C' THEN 0 WHEN 'T' THEN 1 WHEN 'G' THEN 2 ELSE 3 END) << (2 * k)))::BIGINT END AS w FROM b),
+  m AS (SELECT x << 12 | list_reduce(list_transform(range(12), lambda j: CASE WHEN x >> j & 1 = 1 THEN {_PARITY}[j + 1] ELSE 0 END), lambda p, q: xor(p, q))::BIGINT AS word FROM (SELECT unnest(range(4096)) AS x)),
+  d AS (SELECT barcode, word FROM v JOIN m ON bit_count(xor(v.w, m.word)) <= 3)
+  SELECT barcode, n, CASE WHEN word IS NOT NULL THEN list_aggregate(list_transform(range(12), lambda k: substr('CTGA', CAST(1 + (word >> (2 * k) & 3) AS INTEGER), 1)), 'string_agg', '') END AS corrected FROM b LEFT JOIN d USING (barcode)""",
+    "quality_trim": """WITH r AS (SELECT readid, min(repleaderseq) AS seq FROM buildstdfragments WHERE repleaderseq IS NOT NULL GROUP BY 1),
+  q AS (SELECT *, length(seq) AS n, substr(translate(md5(readid), '0123456789abcdef', '#%'')+-/13579;=?A') || md5(seq), 1, length(seq)) AS quality FROM r),
+  l AS (SELECT *, list_transform(range(1, n + 1), lambda i: CASE WHEN ascii(substr(quality, CAST(i AS INTEGER), 1)) <= 43 THEN 1 ELSE 0 END) AS low FROM q),
+  k AS (SELECT *, coalesce(list_filter(range(1, n + 1), lambda i: list_sum(list_transform(range(-3, 4), lambda o: low[greatest(1, least(n, i + o))])) >= 2)[1] - 1, n) AS keep FROM l)
+  SELECT readid, substr(seq, 1, CAST(keep AS INTEGER)) AS seq, substr(quality, 1, CAST(keep AS INTEGER)) AS quality FROM k""",
 }

@@ -21,6 +21,13 @@ def mismatches(a: Column, b: Column) -> Column:
     return F.when(F.length(a) == F.length(b), F.aggregate(letters, F.lit(0), lambda s, x: s + x))
 
 
+def within(a: Column, b: Column, most: int) -> Column:
+    """Whether two strings have one length and at most `most` differing letters; null for a null."""
+    if most <= 1:  # for strings of one length a Levenshtein distance up to 1 is the number of substitutions
+        return (F.length(a) == F.length(b)) & (F.levenshtein(a, b, most) >= 0)
+    return (F.length(a) == F.length(b)) & (mismatches(a, b) <= most)
+
+
 def match_barcodes(reads: DataFrame, seq: str, barcodes: DataFrame, barcode: str, most: int = 1) -> DataFrame:
     """each distinct read sequence with every distinct barcode of its length at most `most` substitutions away.
 

@@ -35,20 +35,20 @@ def _reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def demultiplex_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """§2.13 d with Golay correction off and the orientation by vote."""
-    rows = demultiplex(_reads(spark, sf_dir), _sheet(spark, sf_dir), DemultiplexOptions(auto_orientation=True, poly_g=False))
+    rows = demultiplex(_reads(spark, sf_dir), _sheet(spark, sf_dir), DemultiplexOptions(auto_orientation=True, poly_g=False), Workspace(spark, "demultiplex"))
     return rows.select(*REPLICATE, "refgenome", "mode", "leaderseqhmm", "vectorfastafile", "anchorreadseq", "adriftreadseq", "umi", "n_reads", "readid")
 
 
 def demultiplex_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: the same reads without collapse and with their UMIs."""
-    rows = demultiplex(_reads(spark, sf_dir), _sheet(spark, sf_dir), DemultiplexOptions(collapse=False, capture_umis=True, poly_g=False))
+    rows = demultiplex(_reads(spark, sf_dir), _sheet(spark, sf_dir), DemultiplexOptions(collapse=False, capture_umis=True, poly_g=False), Workspace(spark, "demultiplex"))
     return rows.select(*REPLICATE, "readid", "umi", "linker1", "linker2", "n_reads")
 
 
 def demultiplex_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reads per sample and replicate of the sheet."""
     sheet = _sheet(spark, sf_dir)
-    return sample_report(sheet.select(*REPLICATE).distinct(), demultiplex(_reads(spark, sf_dir), sheet))
+    return sample_report(sheet.select(*REPLICATE).distinct(), demultiplex(_reads(spark, sf_dir), sheet, work=Workspace(spark, "demultiplex")))
 
 
 def overread_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +110,7 @@ def vector_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def psl_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Alignments of the distinct leaders, read from PSL, brought back to all reads and scored."""
+    """Alignments of the distinct leaders, read from PSL, brought back to all reads and scored."""
     reads = table(spark, sf_dir, "buildstdfragments").where("repleaderseq is not null").select("refgenome", "readid", F.col("repleaderseq").alias("qName"))
     hits = sequences_to_align(reads, "refgenome", "qName").withColumn("bad", F.length(F.regexp_replace("qName", "[^T]", "")) % 4).withColumn("n", F.length("qName"))
     zero = F.lit(0)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from sitewright.functions.genome import posid, revcomp, trim_poly_g
 from sitewright.operators.fragments import build_fragments
 from sitewright.operators.rollup import collapse_duplicates, consensus_leader, joined_labels, relative_abundance, replicate_columns, replicate_range, site_rollup
-from sitewright.operators.sequences import golay_correct, last_match, match_barcodes, mismatches, orientation_vote, quality_trim
+from sitewright.operators.sequences import golay_correct, last_match, match_barcodes, orientation_vote, quality_trim, within
 from sitewright.operators.sites import DUAL, label_duals, orient_sites
 from sitewright.operators.standardize import standardize_breakpoints, standardize_positions
 from sitewright.session import Workspace
@@ -38,7 +38,7 @@ class DemultiplexOptions:
     trim_half_width: int = 3
 
 
-def demultiplex(reads: DataFrame, sheet: DataFrame, options: DemultiplexOptions = DemultiplexOptions()) -> DataFrame:
+def demultiplex(reads: DataFrame, sheet: DataFrame, options: DemultiplexOptions = DemultiplexOptions(), work: Workspace | None = None) -> DataFrame:
     """Assign reads to the samples of a sheet and collapse duplicates.
 
     reads: rec_idx, readid, i1, r1, q1, r2, q2. A read belongs to a sheet row if its index is within the
@@ -46,7 +46,8 @@ def demultiplex(reads: DataFrame, sheet: DataFrame, options: DemultiplexOptions
     fits several rows is left out. Barcodes are matched once per distinct index sequence. A linker without Ns is
     tested whole, and its reads have no UMI and no second linker. auto_orientation: all index reads are reversed
     if more of them are barcodes then. golay: index reads are corrected first; what cannot be corrected stays.
-    collapse: one row per sample, UMI and pair of sequences; otherwise one per read.
+    collapse: one row per sample, UMI and pair of sequences; otherwise one per read. With a work folder the
+    assigned reads, which are used twice, are written there once.
     """
     o = options
     barcodes = sheet.withColumn("barcode", F.upper("index1seq")).withColumn("linker", F.upper("adriftreadlinkerseq"))
@@ -58,23 +59,24 @@ def demultiplex(reads: DataFrame, sheet: DataFrame, options: DemultiplexOptions
         rows = rows.withColumn("i1", revcomp(F.col("i1")))
     if o.golay:
         rows = golay_correct(rows, "i1", "_fixed").withColumn("i1", F.coalesce("_fixed", "i1")).drop("_fixed")
+    pairs = match_barcodes(rows, "i1", barcodes, "barcode", o.index_mismatches).select("i1", "barcode")
     trim = {"least": o.trim_score, "events": o.trim_events, "half_width": o.trim_half_width}
     rows = quality_trim(quality_trim(rows, "r1", "q1", **trim), "r2", "q2", **trim)
     longest = sheet.agg((F.max(F.length("adriftreadlinkerseq")) + 1).alias("least"))
     rows = rows.join(F.broadcast(longest)).where((F.length("r1") >= F.col("least")) & (F.length("r2") >= F.col("least"))).drop("least")
-    pairs = match_barcodes(rows, "i1", barcodes, "barcode", o.index_mismatches).select("i1", "barcode")
     linker = lambda k: F.regexp_extract("linker", r"^([^N]*)(N*)(.*)$", k)
     fits = rows.join(pairs, "i1").join(barcodes, "barcode")
     left, umi, right = F.length(linker(1)), F.length(linker(2)), F.length(linker(3))
     part = lambda start, size: F.when(umi > 0, F.substring("r1", start, size))
     fits = fits.withColumn("linker1", F.substring("r1", F.lit(1), left)).withColumn("umi", part(left + 1, umi)).withColumn("linker2", part(left + umi + 1, right))
     if o.adrift_linkers:
-        fits = fits.where(mismatches(F.col("linker1"), linker(1)) <= o.linker_mismatches)
+        fits = fits.where(within(F.col("linker1"), linker(1), o.linker_mismatches))
     if o.post_umi_linker:
-        fits = fits.where((umi == 0) | (mismatches(F.col("linker2"), linker(3)) <= o.linker_mismatches))
+        fits = fits.where((umi == 0) | within(F.col("linker2"), linker(3), o.linker_mismatches))
     tidy = trim_poly_g if o.poly_g else (lambda c: c)
     fits = fits.withColumn("adriftreadseq", tidy(F.expr("substring(r1, length(linker) + 1)"))).withColumn("anchorreadseq", tidy(F.col("r2")))
-    fits = fits.where("adriftreadseq <> '' and anchorreadseq <> ''")
+    fits = fits.where("adriftreadseq <> '' and anchorreadseq <> ''").select(*GROUP, "rec_idx", "readid", "linker1", "umi", "linker2", "anchorreadseq", "adriftreadseq")
+    fits = Workspace.settle(fits, work, "fits")
     single = fits.groupBy("readid").agg(F.count("*").alias("_n")).where("_n = 1").select("readid")
     kept = fits.join(single, "readid", "left_semi").withColumn("umi", F.col("umi") if o.capture_umis else F.lit(MASKED_UMI))
     if not o.collapse:

@@ -16,6 +16,7 @@ import pyarrow as pa
 import regex
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Words of a window.
@@ -127,13 +128,14 @@ def template_windows(texts: DataFrame, id_column: str, names: frozenset[str], wa
 
 
 def leaked_windows(documents: DataFrame, items: DataFrame, exchanged: bool = True) -> DataFrame:
-    """doc_id, item_id, verbatim, consistent: each pair of windows with one template.
+    """doc_id, item_id, template, found, verbatim, consistent: each pair of windows with one template.
 
     documents: doc_id, text; items: item_id, text (the fixed test set; its capitalised words give the
     names). A null or short text has no window. The items' window hashes are shipped to the scan of the
     documents while there are at most SHIPPED_WINDOWS; otherwise both sides are shuffled by the hash.
-    consistent: the slots of the two windows correspond one for one. exchanged: names of the documents that no
-    item has are names, too. No verbatim window holds one, so where only these count it can be left off.
+    found: the hash of the document's own window. consistent: the slots of the two windows correspond one for one.
+    exchanged: names of the documents that no item has are names, too. No verbatim window holds one, so where only
+    these count it can be left off.
     """
     texts = [r.text for r in items.select("text").where("text is not null").toLocalIterator()]
     names = item_names(texts)
@@ -148,7 +150,8 @@ def leaked_windows(documents: DataFrame, items: DataFrame, exchanged: bool = Tru
     zipped = F.size(F.array_distinct(F.arrays_zip("slots", "item_slots")))
     one_for_one = (F.size("slots") == F.size("item_slots")) & (zipped == F.size(F.array_distinct("slots"))) & (zipped == F.size(F.array_distinct("item_slots")))
     same = (F.col("verbatim") == F.col("item_verbatim")) & (F.col("slots") == F.col("item_slots"))
-    return both.select(F.col("id").alias("doc_id"), "item_id", same.alias("verbatim"), (one_for_one & (F.lit(RUN) - F.size("slots") >= FIXED_WORDS)).alias("consistent"))
+    consistent = one_for_one & (F.lit(RUN) - F.size("slots") >= FIXED_WORDS)
+    return both.select(F.col("id").alias("doc_id"), "item_id", "template", F.col("verbatim").alias("found"), same.alias("verbatim"), consistent.alias("consistent"))
 
 
 def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
@@ -157,6 +160,18 @@ def leaked_items(documents: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def reparameterised_items(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """doc_id, item_id, windows: documents that hold an item only with other numbers, names or units."""
-    pairs = leaked_windows(documents, items).groupBy("doc_id", "item_id").agg(F.max("verbatim").alias("verbatim"), F.count_if("consistent").alias("windows"))
-    return pairs.where("not verbatim and windows > 0").select("doc_id", "item_id", "windows")
+    """doc_id, item_id, windows: what documents hold of items only with other numbers, names or units.
+
+    A window that some item has word for word is a leak of that item and no exchange of another one's slots. Every
+    other window counts for the item with most consistent windows in that document, and for each of several that
+    have equally many; windows counts those of an item. So a passage is not reported for every item made from a
+    part of its template, and a document with passages of several templates is reported for each of them. A pair with
+    a verbatim window is left to leaked_items, with all windows that count for it.
+    """
+    place = ["doc_id", "template", "found"]
+    pairs = leaked_windows(documents, items).groupBy(*place, "item_id").agg(F.max("verbatim").alias("verbatim"), F.max("consistent").alias("consistent"))
+    # one shuffle by document serves all windows; a document's rows are bounded by its length and the fixed items
+    pairs = pairs.repartition("doc_id").withColumn("leaked", F.max("verbatim").over(W.partitionBy("doc_id", "item_id"))).withColumn("explained", F.max("verbatim").over(W.partitionBy(*place)))
+    counted = pairs.where("consistent").withColumn("n", F.count("*").over(W.partitionBy("doc_id", "item_id")))
+    best = counted.withColumn("most", F.max("n").over(W.partitionBy(*place))).where("n = most and not leaked and not explained")
+    return best.groupBy("doc_id", "item_id").agg(F.count("*").alias("windows"))

@@ -70,3 +70,35 @@ def test_names_that_no_item_has(spark):
     assert {(1, 2), (2, 2), (7, 1), (9, 1)} <= set(pairs) and not {(3, 2), (4, 2), (5, 2)} & set(pairs)
     assert pairs[9, 1] == 7 and pairs[1, 2] > pairs.get((6, 2), 0)
     assert {tuple(r) for r in lk.leaked_items(d, i).collect()} == {(3, 2)}
+
+
+def test_a_passage_counts_for_its_best_items(spark):
+    family = [f"When the {c} tide reaches Zufal{e} ferries to Belos{e} wait {n} minutes so that crates of hemp stay dry" for c, e, n in (("crimson", "ja", 26), ("crimson", "mo", 48), ("crimson", "vey", 71))]
+    other = "Each winter Cortolgen sends 73 singers to Mirstebel where the narrow choir is paid in rare linen rather than 8 coins or bread"
+    asked = family[0].replace("26", "33").replace("Zufalja", "Qorvexa").replace("Belosja", "Hintrel")
+    docs = [(1, asked), (2, family[1]), (3, asked + ". " + other.replace("73", "12").replace("Mirstebel", "Onvark").replace("8", "6")), (4, other), (4, other), (5, None), (6, "")]
+    d, i = frames(spark, docs, [*enumerate(family, 1), (9, other), (9, other)])
+    # equals are all named; a copy of item 2 (document 2) is no exchange of items 1 and 3
+    assert {tuple(r)[:2] for r in lk.reparameterised_items(d, i).collect()} == {(x, y) for x in (1, 3) for y in (1, 2, 3)} | {(3, 9)}
+    assert {tuple(r) for r in lk.leaked_items(d, i).collect()} == {(2, 2), (4, 9)}
+
+
+def test_planted_exchanges(spark):
+    """Every item once with all its names and numbers exchanged, among all documents: held-out recall and precision."""
+    sf = "/root/testdata/sf0.01"
+    items = table(spark, sf, "eval_items")
+    texts = [(r.item_id, r.text) for r in items.collect()]
+    names = lk.item_names([t for _, t in texts])
+
+    def exchanged(text, item):
+        new = lambda m: "Q" + m[0][::-1].lower() + "x" if m[0].lower() in names else m[0]
+        return regex.sub(r"\p{N}+", lambda m: str(int(m[0]) + 7 + item), regex.sub(r"\p{L}+", new, text))
+
+    planted = [(10**12 + i, f"My own question. {exchanged(t, i)} Any idea?") for i, t in texts]
+    docs = table(spark, sf, "documents").select("doc_id", "text").union(spark.createDataFrame(planted, "doc_id long, text string"))
+    verbatim = {r.doc_id for r in lk.leaked_items(docs, items).collect() if r.doc_id - 10**12 == r.item_id}
+    wanted = {(d, d - 10**12) for d, _ in planted if d not in verbatim}  # about half; the others keep 13 equal words
+    rows = {(r.doc_id, r.item_id) for r in lk.reparameterised_items(docs, items).collect()}
+    ours = {r for r in rows if r[0] >= 10**12}
+    print("wanted", len(wanted), "found", len(wanted & rows), "rows of planted documents", len(ours), "of others", len(rows - ours))
+    assert wanted <= rows and len(ours) <= 1.2 * len(wanted) and len(rows - ours) <= 0.1 * len(wanted)

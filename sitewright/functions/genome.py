@@ -58,14 +58,27 @@ def canonical_posid(c: Column) -> Column:
     return parsed_position(c)["posid"]
 
 
-def psl_percent_identity(matches: Column, mismatches: Column, rep: Column, q_ins: Column, q_ali: Column, t_ali: Column) -> Column:
-    """Percent identity of a transcript alignment to two decimals (target inserts are not counted)."""
-    total = matches + rep + mismatches
-    gap = F.greatest(F.lit(0), q_ali - t_ali)
-    bad = F.floor((F.lit(1000) * (mismatches + q_ins + F.round(F.lit(3) * F.log(F.lit(1) + gap)))) / total)
-    return F.when(total > 0, F.round(F.lit(100) - F.lit(0.1) * bad, 2)).otherwise(F.lit(0.0))
+def psl_size_factor(strand: Column, last_start: Column, last_size: Column, t_start: Column, t_end: Column, t_size: Column) -> Column:
+    """3 for a translated alignment, else 1. Such a one has two strands, and its last block, at three letters a residue,
+    ends the target's range (on the second strand -, counted from the target's end, begins it)."""
+    end = last_start + 3 * last_size
+    second = F.substring(strand, 2, 1)
+    return F.when((second == "+") & (t_end == end), 3).when((second == "-") & (t_start == t_size - end), 3).otherwise(1)
 
 
-def psl_score(matches: Column, mismatches: Column, rep: Column, q_inserts: Column, t_inserts: Column) -> Column:
-    """Alignment score of a nucleotide alignment."""
-    return matches + F.shiftright(rep, 1) - mismatches - q_inserts - t_inserts
+def psl_percent_identity(matches: Column, mismatches: Column, rep: Column, q_ins: Column, q_ali: Column, t_ali: Column, factor: Column | int = 1) -> Column:
+    """Percent identity of a transcript alignment to two decimals (target inserts are not counted).
+
+    factor: psl_size_factor. An alignment without any extent in query or target has 100 percent.
+    """
+    m = factor if isinstance(factor, Column) else F.lit(factor)
+    total = m * (matches + rep + mismatches)
+    gap = F.greatest(F.lit(0), m * q_ali - t_ali)
+    bad = F.floor((F.lit(1000) * (m * mismatches + q_ins + F.round(F.lit(3) * F.log(F.lit(1) + gap)))) / total)
+    return F.when((q_ali <= 0) | (t_ali <= 0), F.lit(100.0)).when(total > 0, F.round(F.lit(100) - F.lit(0.1) * bad, 2)).otherwise(F.lit(0.0))
+
+
+def psl_score(matches: Column, mismatches: Column, rep: Column, q_inserts: Column, t_inserts: Column, factor: Column | int = 1) -> Column:
+    """Alignment score; factor: psl_size_factor."""
+    m = factor if isinstance(factor, Column) else F.lit(factor)
+    return m * (matches + F.shiftright(rep, 1)) - m * mismatches - q_inserts - t_inserts

@@ -140,6 +140,13 @@ def weighted_histogram(df: DataFrame, keys: list[str], x: Column, y: Column, x_w
     return bins.join(total, keys).withColumn("percent", F.round(F.lit(100.0) * F.col("weight") / F.col("_total"), 4)).drop("_total")
 
 
+def display_range(histogram: DataFrame, keys: list[str], least: float) -> DataFrame:
+    """Per group the range of the bins of weighted_histogram that hold at least `least` percent of it; a group without
+    such a bin is left out."""
+    shown = histogram.where(F.col("percent") >= least).groupBy(*keys)
+    return shown.agg(*[f(f"{axis}_bin").alias(f"{axis}_{name}") for axis in "xy" for name, f in (("from", F.min), ("to", F.max))], F.sum("weight").alias("weight_shown"))
+
+
 def whole_percentages(counts: DataFrame, keys: list[str], label: str, n: str) -> DataFrame:
     """Percentages of a group as whole numbers that add up to 100 (largest remainders, ties by label)."""
     w = W.partitionBy(*keys)

@@ -244,15 +244,16 @@ def global_row_number(df: DataFrame, order: list[Column], work: Workspace, name:
     return numbered.join(F.broadcast(offsets), "_part").withColumn(name, F.col("_n") + F.col("_before")).drop("_part", "_n", "_before")
 
 
-def binned_consensus(df: DataFrame, seq: str, bins: int, first: int, last: int | None, work: Workspace) -> DataFrame:
+def binned_consensus(df: DataFrame, seq: str, bins: int, first: int, last: int | None, work: Workspace, second: tuple[int, int] | None = None) -> DataFrame:
     """Per bin and sequence position the most frequent base and its share.
 
-    Sequences are ordered by their first 20 letters and then whole; bin b ends at row floor(b * n / bins).
+    Sequences are ordered by their first 20 letters, then by the letters from..to of second (the genomic part) if given,
+    and then whole; bin b ends at row floor(b * n / bins).
     Positions first..last, a report window; without last, to the end of each sequence. Ties go to A, C, G, T in this order; N counts in the denominator only.
     """
     rows = df.where(F.length(seq) > 0).select(seq)
     n = rows.count()
-    numbered = global_row_number(rows, [F.substring(seq, 1, 20), F.col(seq)], work)
+    numbered = global_row_number(rows, [F.substring(seq, 1, 20), *([F.substring(seq, second[0], second[1] - second[0] + 1)] if second else []), F.col(seq)], work)
     binned = numbered.select(seq, F.ceil(F.col("row_number") * bins / F.lit(max(n, 1))).cast("int").alias("bin"))
     # equal sequences of a bin are counted once before their letters are spread
     window = F.substring(F.col(seq), F.lit(first), F.length(seq) if last is None else F.lit(last - first + 1))

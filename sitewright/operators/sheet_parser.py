@@ -137,3 +137,11 @@ def loaded_rows(lines: DataFrame) -> DataFrame:
     cell = lambda name: F.when(F.col("cell")[name] != "", F.col("cell")[name])
     names = ("trial", "subject", "sample", "index1Seq", "adriftReadLinkerSeq", "refGenome", "leaderSeqHMM", "vectorFastaFile", "mode")
     return ok.select("line_id", "sheet", "line_no", whole_number(F.col("cell")["replicate"]).alias("replicate"), *[cell(n.lower()).alias(n.lower()) for n in names])
+
+
+def sheet_report(lines: DataFrame) -> DataFrame:
+    """K9: per sheet its sample rows, its issues and FAILED or PASS; a sheet of a header alone has no rows and no issues."""
+    rows = sheet_rows(lines, sample_sheet_checks()).groupBy("sheet").agg(F.count("*").alias("n_rows"), F.sum(F.size("reasons")).alias("n_issues"))
+    heads = lines.where("line_no = 1").select("sheet", F.lit(0).cast("long").alias("n_rows"), F.lit(0).cast("long").alias("n_issues"))
+    both = rows.union(heads).groupBy("sheet").agg(F.max("n_rows").alias("n_rows"), F.max("n_issues").alias("n_issues"))
+    return both.withColumn("status", F.when(F.col("n_issues") > 0, "FAILED").otherwise("PASS"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,3 +119,18 @@ def annotate_repeats(sites: DataFrame, repeats: DataFrame, keys: list[str]) -> D
     listed = hits.groupBy(*keys, "pos").agg(F.array_sort(F.collect_set(F.struct("ord", "name", "class"))).alias("_h"))
     text = lambda field: F.array_join(F.array_distinct(F.transform("_h", lambda h: h[field])), ",")
     return spots.join(listed.select(*keys, "pos", text("name").alias("repeat_name"), text("class").alias("repeat_class")), [*keys, "pos"], "left")
+
+
+def recovery_metrics(truth: DataFrame, seen: DataFrame, keys: list[str], reach: int, work: Workspace) -> DataFrame:
+    """One row with the known positions expected, recovered and missing, the positions seen and those of them that no
+    known one explains, and the percentage recovered (null without known positions).
+
+    truth and seen: keys and pos; repeats count once, rows with a null not at all. Two positions at most reach apart are one.
+    """
+    sides = [work.write(df.select(*keys, F.col("pos").alias(name)).dropna().distinct(), name) for df, name in ((truth, "true_pos"), (seen, "site_pos"))]
+    near = work.write(band_join(*sides, keys, "true_pos", "site_pos", reach).select(*keys, "true_pos", "site_pos"), "near")
+    counts = {"n_expected": sides[0], "n_sites": sides[1], "n_recovered": near.select(*keys, "true_pos").distinct(), "n_explained": near.select(*keys, "site_pos").distinct()}
+    tally = reduce(DataFrame.union, [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counts.items()])
+    row = tally.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in counts])
+    percent = F.round(F.try_divide(F.lit(100.0) * F.col("n_recovered"), F.col("n_expected")), 2)
+    return row.select("n_expected", "n_recovered", (F.col("n_expected") - F.col("n_recovered")).alias("n_missing"), "n_sites", (F.col("n_sites") - F.col("n_explained")).alias("n_imagined"), percent.alias("percent_recovered"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sitewright.functions.genome import parsed_position
 from sitewright.operators.heavy_keys import aggregate_skewed
-from sitewright.operators.sheet_parser import loaded_rows, rejected_rows
+from sitewright.operators.sheet_parser import loaded_rows, rejected_rows, sheet_report
 from sitewright.session import table
 
 
@@ -32,7 +32,12 @@ def p4_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loaded_rows(table(spark, sf_dir, "sampledata_lines"))
 
 
-QUERIES = {"p1_found": p1_found, "p1_positions": p1_positions, "p4_found": p4_found, "p4_loaded": p4_loaded}
+def sheet_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K9: the report of every sheet."""
+    return sheet_report(table(spark, sf_dir, "sampledata_lines"))
+
+
+QUERIES = {"p1_found": p1_found, "p1_positions": p1_positions, "p4_found": p4_found, "p4_loaded": p4_loaded, "sheet_status": sheet_status}
 
 # The oracle spells a position as sign and number, read the plain way.
 _POSITIONS = r"""
@@ -59,17 +64,22 @@ _OPTIONAL = ("trial", "subject", "sample", "index1seq", "adriftreadlinkerseq", "
 _VALID = r"""sound AND fits AND coalesce(regexp_full_match(i, '(?i)[ACGTN]{12}'), true) AND coalesce(regexp_full_match(a, '(?i)[ACGT]{3,}N{5,}[ACGT]{3,}'), true)
     AND coalesce(regexp_full_match(r, '[+-]?[0-9]+(\.0+)?') AND coalesce(abs(TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS HUGEINT)) <= 2147483647, false), true)"""
 
+_FAULTS = rf"""WITH r AS ({_ROWS})
+  SELECT line_id, 'quotes' AS reason FROM r WHERE NOT sound UNION ALL
+  SELECT line_id, 'columns' FROM r WHERE sound AND NOT coalesce(fits, false) UNION ALL
+  SELECT line_id, 'index1seq' FROM r WHERE sound AND fits AND NOT regexp_full_match(i, '(?i)[ACGTN]{{12}}') UNION ALL
+  SELECT line_id, 'adriftreadlinkerseq' FROM r WHERE sound AND fits AND NOT regexp_full_match(a, '(?i)[ACGT]{{3,}}N{{5,}}[ACGT]{{3,}}') UNION ALL
+  SELECT line_id, 'replicate' FROM r WHERE sound AND fits AND NOT (regexp_full_match(r, '[+-]?[0-9]+(\.0+)?') AND coalesce(abs(TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS HUGEINT)) <= 2147483647, false))"""
+
 SQL = {
     "p4_loaded": f"""WITH b AS (SELECT b.line_id, b.sheet, b.line_no, b.sound, len(b.cells) = len(h.names) AS fits, b.cells, h.names, b.cells[list_position(h.names, 'index1seq')] AS i,
     b.cells[list_position(h.names, 'adriftreadlinkerseq')] AS a, b.cells[list_position(h.names, 'replicate')] AS r
     FROM ({_CELLS}) b LEFT JOIN (SELECT sheet, list_transform(cells, lambda c: lower(trim(c))) AS names FROM ({_CELLS}) WHERE line_no = 1) h USING (sheet) WHERE line_no > 1)
   SELECT line_id, sheet, line_no, TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS INTEGER) AS replicate, {", ".join(f"nullif(cells[list_position(names, '{c}')], '') AS {c}" for c in _OPTIONAL)} FROM b WHERE {_VALID}""",
-    "p4_found": rf"""WITH r AS ({_ROWS})
-  SELECT line_id, 'quotes' AS reason FROM r WHERE NOT sound UNION ALL
-  SELECT line_id, 'columns' FROM r WHERE sound AND NOT coalesce(fits, false) UNION ALL
-  SELECT line_id, 'index1seq' FROM r WHERE sound AND fits AND NOT regexp_full_match(i, '(?i)[ACGTN]{{12}}') UNION ALL
-  SELECT line_id, 'adriftreadlinkerseq' FROM r WHERE sound AND fits AND NOT regexp_full_match(a, '(?i)[ACGT]{{3,}}N{{5,}}[ACGT]{{3,}}') UNION ALL
-  SELECT line_id, 'replicate' FROM r WHERE sound AND fits AND NOT (regexp_full_match(r, '[+-]?[0-9]+(\.0+)?') AND coalesce(abs(TRY_CAST(regexp_extract(r, '^[+-]?[0-9]+') AS HUGEINT)) <= 2147483647, false))""",
+    "p4_found": _FAULTS,
+    "sheet_status": rf"""WITH f AS (SELECT sheet, count(*) AS n FROM ({_FAULTS}) JOIN sampledata_lines USING (line_id) GROUP BY 1)
+  SELECT sheet, count(*) FILTER (WHERE line_no IS NULL OR line_no > 1) AS n_rows, coalesce(max(n), 0) AS n_issues, CASE WHEN coalesce(max(n), 0) > 0 THEN 'FAILED' ELSE 'PASS' END AS status
+  FROM sampledata_lines LEFT JOIN f USING (sheet) GROUP BY 1""",
     "p1_positions": _GROUPED,
     "p1_found": f"SELECT posid FROM ({_GROUPED}) WHERE n_rows * 100 >= (SELECT count(*) FROM known_sites)",
 }

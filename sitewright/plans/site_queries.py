@@ -10,9 +10,9 @@ from sitewright.functions.text import normalize_id, strip_blanks, valid_id
 from sitewright.operators.components import connected_components
 from sitewright.operators.fragments import anchor_competition, position_counts, rescue_reads, shortest_fragment
 from sitewright.operators.rangejoin import band_join, fill_down, nearest_edge, nearest_join, overlap_join
-from sitewright.operators.rollup import collapse_duplicates, consensus_leader, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, replicate_range, site_rollup, site_umis, weighted_histogram
+from sitewright.operators.rollup import collapse_duplicates, consensus_leader, display_range, dominant_class, fragment_rollup, joined_labels, relative_abundance, replicate_columns, replicate_range, site_rollup, site_umis, weighted_histogram
 from sitewright.operators.sequences import assign_reads, binned_consensus, golay_correct, orientation_vote, quality_trim
-from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, shifted_position
+from sitewright.operators.sites import annotate_nearest, annotate_repeats, dual_detections, oriented_strand, reciprocal_pairs, recovery_metrics, shifted_position
 from sitewright.session import Workspace, table
 from sitewright.sources.lake import merge_history, replace_scope
 
@@ -181,6 +181,17 @@ def score_heatmap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_histogram(_fragments(spark, sf_dir), ["leaderseqhmm"], F.col("width"), F.col("nreads"), 25, 3, F.col("nreads")).where("leaderseqhmm is not null")
 
 
+def heatmap_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bins of score_heatmap with at least two percent of a profile's reads."""
+    return display_range(score_heatmap(spark, sf_dir), ["leaderseqhmm"], 2.0)
+
+
+def sequence_consensus_genomic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A21, T8 with the second key: bases 50 to 60."""
+    rows = table(spark, sf_dir, "known_sites").select(F.upper(strip_blanks(F.col("leaderseq"))).alias("seq"))
+    return binned_consensus(rows, "seq", 50, 1, None, Workspace(spark, "consensus"), (50, 60))
+
+
 def sequence_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "known_sites").select(F.upper(strip_blanks(F.col("leaderseq"))).alias("seq"))
     return binned_consensus(rows, "seq", 50, 1, None, Workspace(spark, "consensus"))
@@ -245,6 +256,11 @@ def truth_recovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("chrom", "strand", "true_pos", "n_rows", F.col("b.site_pos").alias("site_pos"), F.col("b.d").alias("distance"), (-F.col("b.r")).alias("site_reads"))
 
 
+def recovery_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A26 over the same tables and the same reach as truth_recovery."""
+    return recovery_metrics(_positions(spark, sf_dir), with_positions(_fragments(spark, sf_dir), "posid", "nreads"), ["chrom", "strand"], 5, Workspace(spark, "recovery"))
+
+
 def spacing_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gaps between neighbouring known positions of a chromosome."""
     spots = _positions(spark, sf_dir).select("chrom", "pos").distinct()
@@ -320,12 +336,15 @@ QUERIES = {
     "repeat_annotate": repeat_annotate,
     "dominant_class": dominant_class_query,
     "score_heatmap": score_heatmap,
+    "heatmap_range": heatmap_range,
     "sequence_consensus": sequence_consensus,
+    "sequence_consensus_genomic": sequence_consensus_genomic,
     "topk_barcodes": topk_barcodes,
     "stage_attrition": stage_attrition,
     "subject_history_merge": subject_history_merge,
     "scope_replace": scope_replace,
     "truth_recovery": truth_recovery,
+    "recovery_summary": recovery_summary,
     "spacing_stats": spacing_stats,
     "catalog_counts": catalog_counts,
     "index_orientation": index_orientation,

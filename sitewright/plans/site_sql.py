@@ -129,6 +129,20 @@ SQL = {
   t AS (SELECT bin, position, sum(k) AS total FROM l GROUP BY ALL),
   w AS (SELECT * FROM l WHERE base IN ('A', 'C', 'G', 'T') QUALIFY row_number() OVER (PARTITION BY bin, position ORDER BY k DESC, base) = 1)
   SELECT t.bin, t.position, w.base, round(w.k / t.total::DOUBLE, 6) AS agreement FROM t LEFT JOIN w ON t.bin = w.bin AND t.position = w.position""",
+    "sequence_consensus_genomic": f"""WITH s AS (SELECT upper({_strip("leaderseq")}) AS seq FROM known_sites WHERE leaderseq IS NOT NULL),
+  n AS (SELECT seq, row_number() OVER (ORDER BY substr(seq, 1, 20), substr(seq, 50, 11), seq) AS rn, count(*) OVER () AS t FROM s WHERE length(seq) > 0),
+  b AS (SELECT seq, CAST((rn * 50 + t - 1) // t AS INTEGER) AS bin FROM n),
+  l AS (SELECT bin, i AS position, substr(seq, i, 1) AS base, count(*) AS k FROM b, (SELECT unnest(range(1, (SELECT max(length(seq)) + 1 FROM s))) AS i) WHERE i <= length(seq) GROUP BY ALL),
+  t AS (SELECT bin, position, sum(k) AS total FROM l GROUP BY ALL),
+  w AS (SELECT * FROM l WHERE base IN ('A', 'C', 'G', 'T') QUALIFY row_number() OVER (PARTITION BY bin, position ORDER BY k DESC, base) = 1)
+  SELECT t.bin, t.position, w.base, round(w.k / t.total::DOUBLE, 6) AS agreement FROM t LEFT JOIN w ON t.bin = w.bin AND t.position = w.position""",
+    "heatmap_range": f"""WITH {_FRAGS}, b AS (SELECT leaderseqhmm, CAST(floor(width / 25.0) * 25 AS BIGINT) AS x_bin, CAST(floor(nreads / 3.0) * 3 AS BIGINT) AS y_bin, CAST(sum(nreads) AS BIGINT) AS weight FROM frags WHERE leaderseqhmm IS NOT NULL GROUP BY ALL),
+  h AS (SELECT *, round(100.0 * weight / sum(weight) OVER (PARTITION BY leaderseqhmm), 4) AS percent FROM b)
+  SELECT leaderseqhmm, min(x_bin) AS x_from, max(x_bin) AS x_to, min(y_bin) AS y_from, max(y_bin) AS y_to, CAST(sum(weight) AS BIGINT) AS weight_shown FROM h WHERE percent >= 2 GROUP BY 1""",
+    "recovery_summary": f"""WITH {_SITES}, t AS (SELECT DISTINCT chrom, strand, pos FROM known), o AS (SELECT DISTINCT {_spot("posid")} FROM buildstdfragments WHERE posid IS NOT NULL),
+  n AS (SELECT t.chrom, t.strand, t.pos AS a, o.pos AS b FROM t JOIN o ON t.chrom = o.chrom AND t.strand = o.strand AND abs(t.pos - o.pos) <= 5),
+  c AS (SELECT (SELECT count(*) FROM t) AS e, (SELECT count(*) FROM o) AS s, (SELECT count(*) FROM (SELECT DISTINCT chrom, strand, a FROM n)) AS r, (SELECT count(*) FROM (SELECT DISTINCT chrom, strand, b FROM n)) AS x)
+  SELECT e AS n_expected, r AS n_recovered, e - r AS n_missing, s AS n_sites, s - x AS n_imagined, round(100.0::DOUBLE * r / e, 2) AS percent_recovered FROM c""",
     "topk_barcodes": """WITH i AS (SELECT upper(index1seq) AS barcode, count(*) AS barcode_n FROM sampledata GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10),
   p AS (SELECT upper(index1seq) || ':' || upper(adriftreadlinkerseq) AS pair, count(*) AS pair_n FROM sampledata GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10)
   SELECT * FROM (SELECT *, CAST(row_number() OVER (ORDER BY barcode_n DESC, barcode) AS INTEGER) AS rank FROM i) FULL JOIN (SELECT *, CAST(row_number() OVER (ORDER BY pair_n DESC, pair) AS INTEGER) AS rank FROM p) USING (rank)""",

@@ -101,6 +101,12 @@ def hmm_gate(hits: DataFrame, parameters: DataFrame) -> DataFrame:
     return hits.join(F.broadcast(parameters), "queryName").where(ok & end)
 
 
+def profile_limits(stats: DataFrame, parameters: DataFrame, hmm: str = "leaderseqhmm") -> DataFrame:
+    """Every sample's figures beside the limits of its profile (queryName of read_hmm_parameters); several rows of one
+    profile give several rows, a sample without a known profile none."""
+    return stats.join(parameters.withColumnRenamed("queryName", hmm), hmm)
+
+
 def terminal_motif(anchor: Column, target_end: Column, motif: Column, radius: Column) -> Column:
     """F7, §2.13 e: the hit's end moved behind the first motif found around it; null where there is none."""
     start = F.greatest(target_end - (F.length(motif) - 1) - radius, F.lit(1))

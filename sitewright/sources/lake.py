@@ -6,7 +6,7 @@ import hashlib
 import json
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Arguments whose values are never recorded.
@@ -18,6 +18,31 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def _prints(df: DataFrame) -> list[Column]:
+    """Number of rows and an order-free sum of their hashes."""
+    return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("h")]
+
+
+def write_verified(df: DataFrame, path: str) -> int:
+    """K1, K4: write df as Parquet, read it back and hold number and hashes of the rows against those that were written.
+
+    Returns the number of rows. A difference is an error. The written side is counted by the job that writes.
+    """
+    seen = Observation()
+    df.observe(seen, *_prints(df)).write.mode("overwrite").parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    read = back.agg(*_prints(back)).first()
+    written = seen.get
+    if (read["n"], read["h"]) != (written["n"], written["h"] if written["h"] is not None else 0):
+        raise ValueError(f"{path}: {written['n']} rows written, {read['n']} read, or their contents differ")
+    return read["n"]
+
+
+def write_tsv(df: DataFrame, path: str) -> None:
+    """K3: tab-separated files with a header, gzipped, one a task; nulls are NA."""
+    df.write.mode("overwrite").option("compression", "gzip").csv(path, sep="\t", header=True, nullValue="NA", emptyValue="")
+
+
 def write_manifest(spark: SparkSession, path: str, module: str, arguments: dict, parents: list[str] = (), rows: int | None = None) -> str:
     """§2.13 p: a JSON record beside the table; returns its id, a hash of the content. Secrets are left out."""
     plain = {k: v for k, v in sorted(arguments.items()) if not any(s in k.lower() for s in SECRET)}

@@ -121,15 +121,53 @@ def read_repeats(spark: SparkSession, path: str) -> DataFrame:
     return rows.withColumn("strand", F.when(F.col("strand") == "C", "-").otherwise(F.col("strand"))).where("strand in ('+', '-')")
 
 
+def _genepred_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of gene predictions as columns, with the first fault of a line as reason (null for a sound one)."""
+    fields = [f.split() for f in GENEPRED_COLUMNS.split(", ")]
+    cells = F.split("value", "\t", -1)
+    lines = spark.read.text(path).where(F.trim("value") != "").select("value", cells.alias("c"), F.size(cells).alias("n"))
+
+    def cell(i: int, name: str, kind: str) -> Column:
+        # 16 columns with a bin, 15 without, 10 without what follows the exons either
+        text = F.when(F.col("n") == 16, F.get("c", F.lit(i))).when((F.col("n") == 15) | (i <= 10), F.get("c", F.lit(i - 1)))
+        return (text.try_cast("int") if kind == "int" else text).alias(name)
+
+    rows = lines.select("value", "n", *[cell(i, name, kind) for i, (name, kind) in enumerate(fields)])
+    numbers = lambda c: F.transform(F.filter(F.split(c, ","), lambda x: x != ""), lambda x: x.try_cast("int"))
+    rows = rows.withColumn("score", F.when(F.col("n") == 10, 0).otherwise(F.col("score"))).withColumn("exonStarts", numbers("exonStarts")).withColumn("exonEnds", numbers("exonEnds"))
+    exons = F.forall(F.arrays_zip("exonStarts", "exonEnds"), lambda e: (e["exonStarts"] < e["exonEnds"]) & (e["exonStarts"] >= F.col("txStart")) & (e["exonEnds"] <= F.col("txEnd")))
+    checks = {
+        "columns": F.col("n").isin(10, 15, 16),
+        "strand": F.col("strand").isin("+", "-"),
+        "transcript": (F.col("txStart") >= 0) & (F.col("txStart") < F.col("txEnd")),
+        "coding": (F.col("cdsStart") >= F.col("txStart")) & (F.col("cdsEnd") <= F.col("txEnd")),
+        "exon count": (F.size("exonStarts") == F.col("exonCount")) & (F.size("exonEnds") == F.col("exonCount")),
+        "exons": exons,
+    }
+    return rows.withColumn("reason", F.coalesce(*[F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in checks.items()]))
+
+
 def read_genepred(spark: SparkSession, path: str) -> DataFrame:
-    """Extended gene predictions with a bin column; starts counted from 1. Rows whose parts do not agree are dropped."""
-    rows = spark.read.csv(path, sep="\t", schema=GENEPRED_COLUMNS)
-    numbers = lambda c: F.transform(F.filter(F.split(c, ","), lambda x: x != ""), lambda x: x.cast("int"))
-    rows = rows.withColumn("exonStarts", numbers("exonStarts")).withColumn("exonEnds", numbers("exonEnds"))
-    inside = F.forall(F.arrays_zip("exonStarts", "exonEnds"), lambda e: (e["exonStarts"] < e["exonEnds"]) & (e["exonStarts"] >= F.col("txStart")) & (e["exonEnds"] <= F.col("txEnd")))
-    agree = (F.size("exonStarts") == F.col("exonCount")) & (F.size("exonEnds") == F.col("exonCount")) & inside
-    within = (F.col("txStart") < F.col("txEnd")) & (F.col("cdsStart") >= F.col("txStart")) & (F.col("cdsEnd") <= F.col("txEnd")) & F.col("strand").isin("+", "-")
-    return rows.where(agree & within)
+    """The sound lines of gene predictions of 10, 15 or 16 columns; name2 is null where there are 10, bin where
+    there are fewer than 16. rejected_genepred has the others."""
+    return _genepred_rows(spark, path).where("reason is null").drop("value", "n", "reason")
+
+
+def rejected_genepred(spark: SparkSession, path: str) -> DataFrame:
+    """Value and reason of the lines that read_genepred leaves out: columns, strand, transcript, coding, exon count, exons."""
+    return _genepred_rows(spark, path).where("reason is not null").select("value", "reason")
+
+
+def select_chromosomes(df: DataFrame, column: str, pattern: str | None = None, listed: DataFrame | None = None) -> DataFrame:
+    """F16: the rows of the chromosomes in listed (one column of the same name) or, without it, of those that pattern
+    matches; all rows without either. A listed chromosome that df does not have is an error; null is no chromosome."""
+    if listed is None:
+        return df if pattern is None else df.where(F.col(column).rlike(pattern))
+    names = listed.select(column).where(F.col(column).isNotNull()).distinct()
+    missing = names.join(df.select(column).distinct(), column, "left_anti").take(5)
+    if missing:
+        raise ValueError(f"chromosomes not present: {', '.join(r[0] for r in missing)}")
+    return df.join(names, column, "left_semi")
 
 
 def transcripts(genes: DataFrame) -> DataFrame:

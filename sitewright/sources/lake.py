@@ -18,6 +18,17 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds; one that is not there is no error."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def _prints(df: DataFrame) -> list[Column]:
     """Number of rows and an order-free sum of their hashes."""
     return [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")), F.lit(0).cast("decimal(38,0)")).alias("h")]
@@ -88,9 +99,7 @@ def replace_scope(spark: SparkSession, rows: DataFrame, groups: DataFrame, path:
     empty = groups.select(*scope).join(rows.select(*scope).distinct(), scope, "left_anti")
     escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
     for r in empty.toLocalIterator():
-        fs, p = _fs(spark, "/".join([path, *[f"{c}={escape(str(r[c]))}" for c in scope]]))
-        if fs.exists(p):
-            fs.delete(p, True)
+        remove_path(spark, "/".join([path, *[f"{c}={escape(str(r[c]))}" for c in scope]]))
 
 
 def merge_history(incoming: DataFrame, archive: DataFrame, key: list[str]) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
-from sitewright.sources.lake import merge_history, replace_scope
+from sitewright.sources.lake import merge_history, path_exists, remove_path, replace_scope
 
 
 def stream_fragments(spark: SparkSession, incoming: str, schema: str, path: str, checkpoint: str, subject: list[str], key: list[str]) -> StreamingQuery:
@@ -19,17 +19,14 @@ def stream_fragments(spark: SparkSession, incoming: str, schema: str, path: str,
         if batch.isEmpty():
             return
         subjects = batch.select(*subject).distinct()
-        try:
-            known = spark.read.schema(batch.schema).parquet(path)
-            archive = known.join(subjects, subject, "left_semi")
-        except Exception as error:  # the table does not exist yet
-            if "PATH_NOT_FOUND" not in str(error):
-                raise
-            archive = batch.limit(0)
+        archive = batch.limit(0)
+        if path_exists(spark, path):
+            archive = spark.read.schema(batch.schema).parquet(path).join(subjects, subject, "left_semi")
         merged = merge_history(batch, archive, key)
         # the partitions are overwritten, so what was read from them is written elsewhere first
         staged = f"{path}_staged/{number}"
         merged.write.mode("overwrite").parquet(staged)
-        replace_scope(spark, spark.read.parquet(staged), subjects, path, subject)
+        replace_scope(spark, spark.read.schema(merged.schema).parquet(staged), subjects, path, subject)
+        remove_path(spark, staged)
 
     return spark.readStream.schema(schema).parquet(incoming).writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

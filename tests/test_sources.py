@@ -125,6 +125,7 @@ def test_stream(spark, tmp_path):
 
     assert arrive(1, [("s", "a", 1), ("s", "b", 2), ("t", "c", 3)]) == {("s", "a", 1), ("s", "b", 2), ("t", "c", 3)}
     assert arrive(2, [("s", "b", 9), ("u", "d", 4)]) == {("s", "a", 1), ("s", "b", 9), ("t", "c", 3), ("u", "d", 4)}
+    assert not list(tmp_path.glob("table_staged/*"))  # what was staged is removed
 
 
 def test_chromosome_selection(spark):

@@ -8,7 +8,8 @@ sketch, not of the similarity; a value gets the more bands the more of it is lef
 differences of a similar value may all lie in what is sketched.
 
 A band is one register. Values that share it are candidates if they are few, or if the next register says
-that the group is dense; a crowd of unrelated values is split by the next register, and that once more. A
+that the group is dense. In a crowd that it would split, every two values are compared by bitmaps of their
+substrings, and those that the bitmaps do not exclude (none that reaches the threshold is) are candidates. A
 candidate's similarity is then estimated from a joint sketch by likelihood, and what may reach the threshold
 is verified exactly. One plan serves tables of every size: nothing in it depends on the number of values but
 the count from which a substring is common, which is a share of the table.
@@ -17,7 +18,7 @@ the count from which a substring is common, which is a share of the table.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
@@ -39,8 +40,10 @@ STEP = 4
 MISS = 0.01
 #: Bits of a band's key for its own register and for each of the two that may split it.
 OWN_BITS, NEXT_BITS = 40, 12
-#: Pairs a kernel hands on at once.
+#: Pairs a kernel hands on, or compares, at once.
 PAIRS = 1 << 20
+#: Bits of the bitmap that stands for the substrings of a value in a crowd.
+MAP_BITS = 512
 
 
 @dataclass(frozen=True)
@@ -53,8 +56,8 @@ class SketchPlan:
     of its own, is also banded by all its substrings of `width` characters, two registers to a band, so that
     short and common values find their partners, too. Where more than `gone` of a value's substrings are common,
     edits are close to each other in the rest, and few long substrings outlive them: it is also banded by its
-    substrings of `closer` characters outside the common ones. A band of more than `crowd` values is split by the next
-    register unless at least `dense` of its pairs agree there. joint registers serve the estimate; a candidate
+    substrings of `closer` characters outside the common ones. In a band of more than `crowd` values, unless at least `dense`
+    of its pairs agree in the next register, the pairs are compared by bitmaps before they are candidates. joint registers serve the estimate; a candidate
     is verified unless the threshold is less likely than the estimate by `sigmas` standard deviations.
     """
 
@@ -317,28 +320,92 @@ def candidate_groups(key: np.ndarray, plan: SketchPlan) -> np.ndarray:
     return begin
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], group: Callable[[np.ndarray], np.ndarray]) -> Iterator[pa.Table]:
+    """Sorted rows in tables that end where a group of the first column does."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        g = group(b.column(0).to_numpy())
+        done = int(np.searchsorted(g, g[-1])) if len(g) else 0  # the last group may go on
+        if held and len(g) and (done or group(held[-1].column(0).to_numpy()[-1:])[0] != g[0]):
+            yield pa.Table.from_batches([*held, b.slice(0, done)])
+            held = []
+        elif done:
+            yield pa.Table.from_batches([b.slice(0, done)])
+        if len(g):
+            held.append(b.slice(done))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _pairs(plan: SketchPlan):
+    """a, b: candidates; or a and the crowd that it belongs to, without b."""
+
     def emit(key: np.ndarray, ids: np.ndarray):
-        size = np.diff(np.append(np.flatnonzero(candidate_groups(key, plan)), len(key)))
+        own = key >> (2 * NEXT_BITS)
+        begin = candidate_groups(key, plan)
+        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+        size = np.diff(np.append(first, len(key)))
+        crowd = np.repeat(np.add.reduceat(begin.astype(np.int64), first) > 1, size)  # would be split
+        if crowd.any():
+            n = int(crowd.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(ids[crowd]), pa.nulls(n, pa.int64()), pa.array(own[crowd])], ["a", "b", "crowd"])
+        key, ids, begin = key[~crowd], ids[~crowd], begin[~crowd]
+        size = np.diff(np.append(np.flatnonzero(begin), len(key)))
         left = np.repeat(np.cumsum(size), size) - np.arange(len(key))  # members from here to the end of the group
         alive, gap = np.flatnonzero(left > 1), 1
         while alive.size:
             for s in range(0, len(alive), PAIRS):
                 a, b = ids[alive[s : s + PAIRS]], ids[alive[s : s + PAIRS] + gap]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.nulls(len(a), pa.int64())], ["a", "b", "crowd"])
             gap += 1
             alive = alive[left[alive] > gap]
 
     def run(batches):
-        key, ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for b in batches:
-            key, ids = np.concatenate([key, b.column("key").to_numpy()]), np.concatenate([ids, b.column("id").to_numpy()])
-            done = int(np.searchsorted(key >> (2 * NEXT_BITS), key[-1] >> (2 * NEXT_BITS))) if len(key) else 0  # the last group may go on
-            if done:
-                yield from emit(key[:done], ids[:done])
-                key, ids = key[done:], ids[done:]
-        if len(key):
-            yield from emit(key, ids)
+        for t in _whole_groups(batches, lambda key: key >> (2 * NEXT_BITS)):
+            yield from emit(t["key"].to_numpy(), t["id"].to_numpy())
+
+    return run
+
+
+def bitmaps(values: list[str], k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each value the bits that its substrings of k characters have (words x values), and how many different ones there are."""
+    row, h = features(values, k)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    new = np.append(True, (row[1:] != row[:-1]) | (h[1:] != h[:-1])) if len(h) else np.zeros(0, bool)
+    bits = np.zeros(len(values) * MAP_BITS, bool)
+    bits[row * MAP_BITS + (_mixed(h) % np.uint64(MAP_BITS)).astype(np.int64)] = True
+    return np.ascontiguousarray(np.packbits(bits).view(np.uint64).reshape(len(values), -1).T), np.bincount(row[new], minlength=len(values))
+
+
+def not_excluded(words: np.ndarray, size: np.ndarray, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places i < j of the pairs that may reach the threshold, by bitmaps.
+
+    Every bit in which two bitmaps differ is a substring of one value only; a pair at the threshold has at most
+    (1 - t) / (1 + t) of both sizes together of these. So no pair that reaches it is left out.
+    """
+    most = (1 - threshold) / (1 + threshold)
+    n, at = len(size), 0
+    while at < n - 1:
+        to = min(n - 1, at + max(1, PAIRS // (n - at)))
+        differ = np.zeros((to - at, n - at), np.uint16)
+        for w in words:
+            differ += np.bitwise_count(w[at:to, None] ^ w[None, at:])
+        i, j = np.nonzero(differ <= most * (size[at:to, None] + size[None, at:]) + 1e-6)
+        yield at + i[i < j], at + j[i < j]
+        at = to
+
+
+def _crowd_pairs(plan: SketchPlan):
+    def run(batches):
+        for t in _whole_groups(batches, lambda crowd: crowd):
+            crowd, ids, texts = t["crowd"].to_numpy(), t["id"].to_numpy(), t["value"].to_pylist()
+            ends = np.append(np.flatnonzero(crowd[1:] != crowd[:-1]) + 1, len(crowd))
+            for start, end in zip(np.append(0, ends[:-1]), ends):
+                words, size = bitmaps(texts[start:end], plan.width)
+                own = ids[start:end]
+                for i, j in not_excluded(words, size, plan.threshold):
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(own[i], own[j])), pa.array(np.maximum(own[i], own[j]))], ["a", "b"])
 
     return run
 
@@ -364,15 +431,18 @@ def _verify(plan: SketchPlan):
     return run
 
 
-def candidate_pairs(kept: DataFrame, plan: SketchPlan) -> DataFrame:
-    """a < b: ids of values that share a band, once each. kept: id, value.
+def candidate_pairs(kept: DataFrame, plan: SketchPlan, work: Workspace, name: str) -> DataFrame:
+    """a < b: ids of values that share a band, once each, but those of a crowd that cannot be similar. kept: id, value.
 
     The bands are shuffled by their own register and sorted; a group is at most the share of all values
-    that may have one substring, so no task gets a crowd.
+    that may have one substring. The members of crowds get their values, and meet once more by crowd.
     """
     bands = band_rows(kept, plan, common_substrings(kept, plan))
     ordered = bands.repartition(F.shiftright("key", 2 * NEXT_BITS)).sortWithinPartitions("key")
-    return ordered.mapInArrow(_pairs(plan), "a long, b long").distinct()
+    met = work.write(ordered.mapInArrow(_pairs(plan), "a long, b long, crowd long"), f"{name}-met")
+    members = met.where("crowd is not null").select(F.col("a").alias("id"), "crowd").join(kept.select("id", "value"), "id").select("crowd", "id", "value")
+    crowded = members.repartition("crowd").sortWithinPartitions("crowd").mapInArrow(_crowd_pairs(plan), "a long, b long")
+    return met.where("crowd is null").select("a", "b").union(crowded).distinct()
 
 
 def similar_pairs(values: DataFrame, plan: SketchPlan, work: Workspace, name: str = "values") -> DataFrame:
@@ -380,11 +450,12 @@ def similar_pairs(values: DataFrame, plan: SketchPlan, work: Workspace, name: st
 
     values: a string column `value`. Equal values count once and a null is no value; a value shorter
     than `width` has no substring and no partner. Pairs are of different values only: copies are never
-    expanded. Nothing is capped: a crowded band is split by further registers, and what still shares all of
-    them is paired. Candidates, and so the recall, follow from the bands: see the README.
+    expanded. Nothing is capped: all pairs of a band are candidates, however many values it has, but those
+    of a crowd whose bitmaps show that they are below the threshold. Which pairs meet in a band, and so the
+    recall, is a matter of probability: see the README.
     """
     kept = work.write(values.select("value").where(F.length("value") >= plan.width).distinct().select(F.monotonically_increasing_id().alias("id"), "value"), name)
-    pairs = candidate_pairs(kept, plan)
+    pairs = candidate_pairs(kept, plan, work, name)
     first = pairs.join(kept.select(F.col("id").alias("a"), F.col("value").alias("va")), "a").select("va", "b")
     both = first.join(kept.select(F.col("id").alias("b"), F.col("value").alias("vb")), "b").select(F.col("va").alias("a"), F.col("vb").alias("b"))
     found = both.mapInArrow(_verify(plan), "a string, b string")

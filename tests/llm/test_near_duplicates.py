@@ -2,6 +2,9 @@ import random
 
 import numpy as np
 
+from pyspark.sql import functions as F
+
+from sitewright.llm import near_duplicates
 from sitewright.llm.near_duplicates import NEXT_BITS, SketchPlan, candidate_groups, common_substrings, features, likeliest, may_reach, registers, shared_share, similar_pairs
 from sitewright.llm.queries import LEADERS, READS
 from sitewright.session import Workspace, table
@@ -107,6 +110,26 @@ def test_crowds_are_split_and_dense_groups_kept():
     assert begin[:35].sum() == 2 and begin[35:].sum() == 40
 
 
+def test_no_pair_of_a_crowd_is_lost(spark, monkeypatch):
+    """All values share one band and no further register: every similar pair has to come out of the crowd."""
+    rng = random.Random(12)
+    start = "".join(rng.choice("ACGT") for _ in range(20))
+    roots = [start + "".join(rng.choice("ACGT") for _ in range(40)) for _ in range(60)]
+    values = [*roots, *(edited(rng, x, 2) for x in roots), "abcdeabcde", "x" * 3000, "x" * 3000 + "y"]
+    one = F.lit(7 << 2 * NEXT_BITS).cast("long") + F.pmod(F.hash("id").cast("long"), F.lit(1 << 2 * NEXT_BITS))
+    monkeypatch.setattr(near_duplicates, "band_rows", lambda kept, plan, common: kept.select(one.alias("key"), "id"))
+    want = brute(values)
+    assert len(want) > 40 and found(spark, values) == want
+
+
+def test_bitmaps_exclude_no_similar_pair():
+    rng = random.Random(13)
+    roots = ["".join(rng.choice("ACGT") for _ in range(60)) for _ in range(100)]
+    values = sorted({*roots, *(edited(rng, x, 3) for x in roots), "", "abcd", "日本語の文章です"})
+    left = {(values[i], values[j]) for a, b in near_duplicates.not_excluded(*near_duplicates.bitmaps(values, 5), 0.6) for i, j in zip(a, b)}
+    assert brute(values) <= left and len(left) < 0.05 * len(values) ** 2 / 2
+
+
 def test_common_by_share(spark):
     values = [f"{i:06}" * 3 + "a common part of all values" for i in range(600)]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, value string")

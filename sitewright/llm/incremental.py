@@ -14,7 +14,6 @@ is left of them after up to two deletions. No pair within two edits is lost, and
 
 from __future__ import annotations
 
-import gc
 import json
 from collections.abc import Iterator
 from functools import reduce
@@ -30,7 +29,7 @@ from pyspark.sql import functions as F
 from sitewright.functions.text import normalize_id
 from sitewright.llm.near_duplicates import features
 from sitewright.operators.components import connected_components
-from sitewright.session import Workspace
+from sitewright.session import Workspace, free_driver_memory
 
 EDITS = 2
 GRAM = 5
@@ -200,9 +199,7 @@ class BatchDeduplicator:
     def _commit(self, batch: str) -> None:
         self.batches.append(batch)
         self.work.write_text("state.json", json.dumps({"batches": self.batches, "merged": self.merged, "weights": self.weights}))
-        # Spark removes the broadcasts and shuffle files of a batch only when the driver collects their handles
-        gc.collect()
-        self.spark._jvm.System.gc()
+        free_driver_memory(self.spark)
 
     def _table(self, name: str, schema: str, batches: list[str]) -> DataFrame:
         paths = [self.work.path(f"{name}/{b}") for b in batches]

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +30,26 @@ def shared_dir(spark: SparkSession) -> str:
     return configured.rstrip("/")
 
 
+def free_driver_memory(spark: SparkSession) -> bool:
+    """Give back what finished jobs have left in the driver; False if the JVM cannot trim its native heap.
+
+    Spark removes broadcasts and shuffle files only when the driver collects their handles. What compilers and
+    threads of the JVM have freed stays with the C library, some MB more for every job, until the heap is trimmed.
+    """
+    gc.collect()
+    jvm, gateway = spark._jvm, spark.sparkContext._gateway
+    jvm.System.gc()
+    server = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+    given = gateway.new_array(jvm.Object, 4)
+    try:  # by reflection: the server's own class is not open to py4j
+        given[0], given[1] = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        invoke = next(m for m in jvm.java.lang.Class.forName("javax.management.MBeanServer").getMethods() if m.getName() == "invoke")
+        invoke.invoke(server, given)
+    except Py4JError:  # a JVM before 17.0.9, or no glibc
+        return False
+    return True
+
+
 class Workspace:
     """Tables of one job below the shared folder; a table written there cuts the lineage.
 

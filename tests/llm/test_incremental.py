@@ -1,8 +1,9 @@
 import random
 import re
 
+from sitewright.llm import incremental
 from sitewright.llm.incremental import BatchDeduplicator, block_hashes, deduplicate, keyed_records, least_score
-from sitewright.session import Workspace, table
+from sitewright.session import Workspace, free_driver_memory, table
 
 SCHEMA = "sample_id long, batch int, trial string, subject string, sample string, replicate int, text string, key long"
 
@@ -157,3 +158,11 @@ def test_separators_in_fields(spark):
 def test_least_score():
     w = [-4.0, -1.0, -2.0, 2.0]
     assert abs(least_score(w) - 1 / (1 + 2.718281828 ** -(2 - 8 / 3))) < 1e-6
+
+
+def test_driver_memory_is_given_back_after_every_batch(spark, monkeypatch):
+    assert free_driver_memory(spark)  # the native heap could be trimmed
+    given_back = []
+    monkeypatch.setattr(incremental, "free_driver_memory", lambda s: given_back.append(free_driver_memory(s)))
+    got, _ = run(spark, [(1, 0, "T", "P", "some sample", 1), (2, 1, "T", "P", "some sample", 1), (3, 2, "T", "P", "another one", 1)])
+    assert got == {(1, 2)} and given_back == [True, True, True]
